@@ -69,7 +69,7 @@ view("pitch", """
     SELECT k, ((s % 12) + 12) % 12 AS c, 1.0::DOUBLE / count(*) OVER (PARTITION BY s) AS w
     FROM (SELECT k, CAST(round(12 * log2((k + 1) * 20 / 27.5::DOUBLE)) AS INTEGER) AS s FROM range(0, 10) t(k))""")
 view("f_chroma", """
-    SELECT clip_id, win, c + 1 AS c, coalesce(sum(CASE WHEN p.c = t.c THEN m * m * w END), 0) / sum(m * m) AS value
+    SELECT clip_id, win, t.c + 1 AS c, coalesce(sum(CASE WHEN p.c = t.c THEN m * m * w END), 0) / sum(m * m) AS value
     FROM spec JOIN pitch p USING (k), range(0, 12) t(c) GROUP BY clip_id, win, t.c""", "spec", "pitch")
 view("f_all", """
     SELECT clip_id, win, 'zcr' AS name, value FROM f_zcr
@@ -100,9 +100,8 @@ def _spectra(spark, d):
 
 
 def _matrix(spark, d):
-    return _spectra(spark, d).withColumn(
-        "matrix", signals.short_term_matrix(F.col("windows"), F.col("spectra"), G)
-    )
+    values = signals.short_term_matrix(F.col("windows"), F.col("spectra"), G)
+    return _spectra(spark, d).withColumn("matrix", signals.with_deltas(values))
 
 
 def _windowed(df, values):
@@ -113,7 +112,7 @@ def _windowed(df, values):
 def _long(df, values, name):
     """Array of arrays per clip -> (clip_id, win, place, value)."""
     rows = signals.per_window(df.withColumn("_v", values), "_v", "_row")
-    return rows.select("clip_id", "win", F.posexplode("_row").alias(name, "value")).select(
+    return rows.select("clip_id", "win", F.posexplode_outer("_row").alias(name, "value")).select(
         "clip_id", "win", name, *T.r6("value")
     )
 
@@ -122,12 +121,12 @@ def _long(df, values, name):
     SELECT clip_id, CAST(i - 1 AS INTEGER) AS idx, round(samples[i] / list_max(list_transform(samples, lambda s: abs(s))), 6) + 0.0 AS value
     FROM clips, range(1, 65) t(i)""", "clips")
 def peak_normalize(spark, d):
-    rows = T.clips(spark, d).select("clip_id", F.posexplode(signals.peak_normalized(F.col("samples"))).alias("idx", "value"))
+    rows = T.clips(spark, d).select("clip_id", F.posexplode_outer(signals.peak_normalized(F.col("samples"))).alias("idx", "value"))
     return rows.select("clip_id", "idx", *T.r6("value"))
 
 
 view("faded", """
-    SELECT clip_id, i, samples[i] * CASE WHEN i <= 16 OR i > 52 THEN 0.001::DOUBLE ELSE 1.0::DOUBLE END AS v
+    SELECT clip_id, i, samples[i] * CASE WHEN i <= 24 OR i > 44 THEN 0.001::DOUBLE ELSE 1.0::DOUBLE END AS v
     FROM clips, range(1, 65) t(i)""", "clips")
 
 
@@ -135,14 +134,14 @@ view("faded", """
     SELECT clip_id, CAST(i - 1 - lo * 4 AS INTEGER) AS idx, round(v, 6) + 0.0 AS value
     FROM (SELECT clip_id, min(f) AS lo, max(f) AS hi
           FROM (SELECT clip_id, f, e, max(e) OVER (PARTITION BY clip_id) AS loudest
-                FROM (SELECT clip_id, f, avg(v * v) AS e FROM faded, range(0, 15) t(f)
-                      WHERE i - 1 BETWEEN f * 4 AND f * 4 + 7 GROUP BY clip_id, f))
+                FROM (SELECT clip_id, f, avg(v * v) AS e FROM faded, range(0, 13) t(f)
+                      WHERE i - 1 BETWEEN f * 4 AND f * 4 + 15 GROUP BY clip_id, f))
           WHERE e > loudest * 0.01::DOUBLE GROUP BY clip_id) JOIN faded USING (clip_id)
-    WHERE i - 1 BETWEEN lo * 4 AND hi * 4 + 7""", "faded")
+    WHERE i - 1 BETWEEN lo * 4 AND hi * 4 + 15""", "faded")
 def trim_silence(spark, d):
-    quiet = F.transform("samples", lambda s, i: s * F.when((i < 16) | (i >= 52), 0.001).otherwise(1.0))
+    quiet = F.transform("samples", lambda s, i: s * F.when((i < 24) | (i >= 44), 0.001).otherwise(1.0))
     kept = signals.trimmed(quiet, G.trim_frame, G.trim_hop)
-    rows = T.clips(spark, d).select("clip_id", F.posexplode(kept).alias("idx", "value"))
+    rows = T.clips(spark, d).select("clip_id", F.posexplode_outer(kept).alias("idx", "value"))
     return rows.select("clip_id", "idx", *T.r6("value"))
 
 
@@ -158,7 +157,7 @@ def frame_signal(spark, d):
     FROM frames, range(0, 10) t(p)""", "frames")
 def flatten_frames(spark, d):
     flat = F.flatten(signals.frames(F.col("samples"), G.frame, G.hop))
-    rows = T.clips(spark, d).select("clip_id", F.posexplode(flat).alias("idx", "value"))
+    rows = T.clips(spark, d).select("clip_id", F.posexplode_outer(flat).alias("idx", "value"))
     return rows.select("clip_id", "idx", *T.r6("value"))
 
 
@@ -235,7 +234,7 @@ def chroma(spark, d):
 
 def _named(df, names, column="matrix"):
     table = F.array(*[F.lit(n) for n in names])
-    rows = signals.per_window(df, column, "_row").select("clip_id", "win", F.posexplode("_row").alias("j", "value"))
+    rows = signals.per_window(df, column, "_row").select("clip_id", "win", F.posexplode_outer("_row").alias("j", "value"))
     return rows.select("clip_id", "win", F.get(table, F.col("j")).alias("name"), *T.r6("value"))
 
 
@@ -244,7 +243,7 @@ def _named(df, names, column="matrix"):
     FROM (SELECT * FROM f_all UNION ALL SELECT * FROM f_delta)""", "f_all", "f_delta")
 def delta_features(spark, d):
     """All 68 short-term features of every window: 34 values and their changes."""
-    return _named(_matrix(spark, d).withColumn("matrix", signals.with_deltas(F.col("matrix"))), S.SHORT_TERM_NAMES)
+    return _named(_matrix(spark, d), S.SHORT_TERM_NAMES)
 
 
 @query("clip_feature_stats", """
@@ -254,7 +253,7 @@ def delta_features(spark, d):
     UNPIVOT (value FOR stat IN (mean, min, max, std))""", "f_all", "f_delta")
 def clip_feature_stats(spark, d):
     """The 272 clip features, long."""
-    full = _matrix(spark, d).withColumn("matrix", signals.with_deltas(F.col("matrix")))
+    full = _matrix(spark, d)
     rows = signals.long_statistics(full.withColumn("features", signals.clip_statistics(F.col("matrix"))))
     return rows.select("clip_id", "name", *T.r6("value"))
 

@@ -11,7 +11,7 @@ from clipwright.operators.labels import with_subject
 from clipwright.operators.signals import Geometry
 
 WIDTH = 64
-TOY = Geometry(rate=400, frame=10, hop=4, trim_frame=8, trim_hop=4)
+TOY = Geometry(rate=400, frame=10, hop=4, trim_frame=16, trim_hop=4)
 
 EVENT_LABELS = {"click": "c_click", "purchase": "c_buy", "signup": "c_new", "view": "c_click", "error": "drop"}
 TYPES = ["click", "error", "purchase", "signup", "view"]

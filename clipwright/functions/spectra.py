@@ -61,12 +61,16 @@ def mean_square(window: Column) -> Column:
 def block_entropy(values: Column, blocks: int = ENTROPY_BLOCKS) -> Column:
     """Entropy (bits) of the energy shares of ``blocks`` equal blocks; a remainder is left out."""
     length = F.floor(F.size(values) / blocks).cast("int")
-    whole = V.square_sum(values) + EPS
-    shares = F.transform(
-        F.sequence(F.lit(0), F.lit(blocks - 1)),
-        lambda b: V.square_sum(F.slice(values, b * length + 1, length)) / whole,
+    blocks_of = F.transform(
+        F.sequence(F.lit(0), F.lit(blocks - 1)), lambda b: V.square_sum(F.slice(values, b * length + 1, length))
     )
-    return F.aggregate(shares, F.lit(0.0), lambda acc, s: acc - s * F.log2(s + EPS))
+
+    def entropy(whole: Column) -> Column:
+        return F.aggregate(
+            F.transform(blocks_of, lambda e: e / whole), F.lit(0.0), lambda acc, s: acc - s * F.log2(s + EPS)
+        )
+
+    return V.bind(V.square_sum(values) + EPS, entropy)
 
 
 # ---- spectrum ----------------------------------------------------------------------
@@ -98,43 +102,49 @@ def centroid_and_spread(spectrum: Column) -> Column:
     """Struct of the first and second spectral moment as shares of the Nyquist frequency."""
     bins = F.size(spectrum)
     peak = F.array_max(spectrum)
-    weights = F.transform(spectrum, lambda m: m / F.when(peak == 0, F.lit(EPS)).otherwise(peak))
-    mass = V.total(weights) + EPS
-    centroid = V.total(F.transform(weights, lambda w, i: w * (i + 1) / bins)) / mass
-    return F.transform(
-        F.array(centroid),
-        lambda c: F.struct(
-            c.alias("centroid"),
-            F.sqrt(
-                V.total(F.transform(weights, lambda w, i: w * F.pow((i + 1) / bins - c, F.lit(2.0)))) / mass
-            ).alias("spread"),
-        ),
-    )[0]
 
+    def moments(weights: Column) -> Column:
+        centroid = V.total(F.transform(weights, lambda w, i: w * (i + 1) / bins)) / (V.total(weights) + EPS)
 
-def flux(spectrum: Column, previous: Column) -> Column:
-    now = V.total(spectrum) + F.size(spectrum) * F.lit(EPS)
-    before = V.total(previous) + F.size(previous) * F.lit(EPS)
-    return F.aggregate(
-        F.zip_with(spectrum, previous, lambda a, b: a / now - b / before),
-        F.lit(0.0),
-        lambda acc, d: acc + d * d,
+        def around(c: Column) -> Column:
+            away = F.transform(weights, lambda w, i: w * ((i + 1) / bins - c) * ((i + 1) / bins - c))
+            return F.struct(
+                c.alias("centroid"), F.sqrt(V.total(away) / (V.total(weights) + EPS)).alias("spread")
+            )
+
+        return V.bind(centroid, around)
+
+    weights = V.bind(
+        F.when(peak == 0, F.lit(EPS)).otherwise(peak), lambda top: F.transform(spectrum, lambda m: m / top)
     )
+    return V.bind(weights, moments)
+
+
+def flux(spectrum: Column, previous: Column) -> Column:
+    def mass(m: Column) -> Column:
+        return V.total(m) + F.size(m) * F.lit(EPS)
+
+    def change(sums: Column) -> Column:
+        return V.square_sum(F.zip_with(spectrum, previous, lambda a, b: a / sums["now"] - b / sums["before"]))
+
+    return V.bind(F.struct(mass(spectrum).alias("now"), mass(previous).alias("before")), change)
 
 
 def rolloff(spectrum: Column, share: float = ROLLOFF_SHARE) -> Column:
     """Lowest bin (as a share of the bins) at which the running energy passes ``share`` of the whole."""
-    bar = V.square_sum(spectrum) * share
     start = F.struct(F.lit(0.0).alias("energy"), F.lit(0).alias("below"))
-    walked = F.aggregate(
-        spectrum,
-        start,
-        lambda acc, m: F.struct(
-            (acc["energy"] + m * m).alias("energy"),
-            (acc["below"] + F.when(acc["energy"] + m * m + EPS > bar, 0).otherwise(1)).alias("below"),
-        ),
-    )
-    return F.when(walked["below"] >= F.size(spectrum), 0.0).otherwise(walked["below"] / F.size(spectrum))
+    def walk(bar: Column) -> Column:
+        return F.aggregate(
+            spectrum,
+            start,
+            lambda acc, m: F.struct(
+                (acc["energy"] + m * m).alias("energy"),
+                (acc["below"] + F.when(acc["energy"] + m * m + EPS > bar, 0).otherwise(1)).alias("below"),
+            ),
+            lambda acc: F.when(acc["below"] >= F.size(spectrum), 0.0).otherwise(acc["below"] / F.size(spectrum)),
+        )
+
+    return V.bind(V.square_sum(spectrum) * share, walk)
 
 
 # ---- cepstrum and pitch classes ----------------------------------------------------
@@ -179,7 +189,7 @@ def cepstrum(spectrum: Column, rate: int, bins: int) -> Column:
         for first, w in bank
     ])
     cosines = V.literal_matrix(cosine_rows(len(bank)))
-    return F.transform(F.array(energies), lambda e: F.transform(cosines, lambda row: V.dot(row, e)))[0]
+    return V.bind(energies, lambda e: F.transform(cosines, lambda row: V.dot(row, e)))
 
 
 def pitch_bins(rate: int, bins: int) -> list[tuple[int, float]]:
@@ -192,24 +202,29 @@ def chroma(spectrum: Column, rate: int, bins: int) -> Column:
     """Energy share of the 12 pitch classes."""
     table = pitch_bins(rate, bins)
     energy = V.square_sum(spectrum)
-    whole = F.when(energy == 0, F.lit(EPS)).otherwise(energy)
 
-    def share(pitch_class: int) -> Column:
+    def share(pitch_class: int, whole: Column) -> Column:
         terms = [
-            F.pow(F.element_at(spectrum, b + 1), F.lit(2.0)) * w
+            F.element_at(spectrum, b + 1) * F.element_at(spectrum, b + 1) * w
             for b, (c, w) in enumerate(table)
             if c == pitch_class
         ]
         return (sum(terms[1:], terms[0]) / whole) if terms else F.lit(0.0)
 
-    return F.array(*[share(c) for c in range(PITCH_CLASSES)])
+    return V.bind(
+        energy,
+        lambda e: V.bind(
+            F.when(e == 0, F.lit(EPS)).otherwise(e),
+            lambda whole: F.array(*[share(c, whole) for c in range(PITCH_CLASSES)]),
+        ),
+    )
 
 
 def population_std(values: Column) -> Column:
     """Population standard deviation of the elements of one array."""
-    return F.transform(
-        F.array(V.total(values) / F.size(values)),
+    return V.bind(
+        V.total(values) / F.size(values),
         lambda m: F.sqrt(
             F.aggregate(values, F.lit(0.0), lambda acc, v: acc + (v - m) * (v - m)) / F.size(values)
         ),
-    )[0]
+    )

@@ -2,11 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value`` evaluated once per row.
+
+    Inside a lambda an expression is evaluated anew for every element, and the optimizer may
+    inline a column into one; a bound value is a lambda variable and cannot be repeated.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def fenced(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add column ``name`` through a one-element generator.
+
+    The optimizer does not merge projections across a generator, so ``value`` is computed once per
+    row, and a Python function over it gets a plain column as its argument.  No shuffle is involved.
+    """
+    keep = [F.col(f"`{c}`") for c in df.columns if c != name]
+    return df.select(*keep, F.explode_outer(F.array(value)).alias(name))
 
 
 def total(values: Column) -> Column:

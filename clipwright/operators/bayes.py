@@ -34,46 +34,50 @@ def assemble(stats: DataFrame, by: Sequence[str], smoothing: Column, label: str
         F.array_sort(F.collect_list(F.struct(F.col(label).alias("label"), "n", "mean", "var"))).alias("_c")
     )
     rows = F.aggregate("_c", F.lit(0).cast("long"), lambda acc, c: acc + c["n"])
-    zeros = F.transform(F.col("_c")[0]["mean"], lambda v: v * 0.0)
-    merged = grouped.withColumn("n", rows)
-    merged = merged.withColumn(
-        "_m",
-        F.aggregate("_c", zeros, lambda acc, c: F.zip_with(acc, c["mean"], lambda a, m: a + m * c["n"] / F.col("n"))),
-    )
-    merged = merged.withColumn(
-        "_v",
-        F.aggregate(
-            "_c",
-            zeros,
-            lambda acc, c: V.add(
-                acc,
-                F.zip_with(
-                    c["var"],
-                    F.zip_with(c["mean"], F.col("_m"), lambda a, g: (a - g) * (a - g)),
-                    lambda v, d: (v + d) * c["n"] / F.col("n"),
+    zeros = F.transform(F.get(F.col("_c"), F.lit(0))["mean"], lambda v: v * 0.0)
+
+    def overall(n: Column) -> Column:
+        """Feature variances over all classes together."""
+        mean = F.aggregate(
+            "_c", zeros, lambda acc, c: F.zip_with(acc, c["mean"], lambda a, m: a + m * c["n"] / n)
+        )
+        return V.bind(
+            mean,
+            lambda whole: F.aggregate(
+                "_c",
+                zeros,
+                lambda acc, c: V.add(
+                    acc,
+                    F.zip_with(
+                        c["var"],
+                        F.zip_with(c["mean"], whole, lambda a, g: (a - g) * (a - g)),
+                        lambda v, d: (v + d) * c["n"] / n,
+                    ),
                 ),
             ),
-        ),
-    )
-    merged = merged.withColumn("epsilon", smoothing * F.array_max("_v"))
-    return merged.select(
-        *by,
-        "n",
-        "epsilon",
-        F.transform(
-            "_c",
-            lambda c: F.struct(
-                c["label"].alias("label"),
-                F.log(c["n"] / F.col("n")).alias("log_prior"),
-                c["mean"].alias("mean"),
-                F.transform(c["var"], lambda v: v + F.col("epsilon")).alias("var"),
-                F.aggregate(
-                    c["var"],
-                    F.lit(0.0),
-                    lambda acc, v: acc - 0.5 * F.log(2.0 * math.pi * (v + F.col("epsilon"))),
-                ).alias("log_norm"),
-            ),
-        ).alias("classes"),
+        )
+
+    def finish(q: Column) -> Column:
+        def one(c: Column) -> Column:
+            return V.bind(
+                F.transform(c["var"], lambda v: v + q["epsilon"]),
+                lambda var: F.struct(
+                    c["label"].alias("label"),
+                    F.log(c["n"] / q["n"]).alias("log_prior"),
+                    c["mean"].alias("mean"),
+                    var.alias("var"),
+                    F.aggregate(
+                        var, F.lit(0.0), lambda acc, v: acc - 0.5 * F.log(2.0 * math.pi * v)
+                    ).alias("log_norm"),
+                ),
+            )
+
+        return F.transform("_c", one)
+
+    epsilon = smoothing * F.array_max(V.bind(rows, overall))
+    sized = grouped.select(*by, "_c", F.struct(rows.alias("n"), epsilon.alias("epsilon")).alias("_q"))
+    return sized.select(
+        *by, F.col("_q.n").alias("n"), F.col("_q.epsilon").alias("epsilon"), V.bind(F.col("_q"), finish).alias("classes")
     )
 
 
@@ -88,8 +92,8 @@ def fit(
 def parameter_table(model: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Rows ``(by..., label, feature, mean, var)`` with the class prior."""
     return (
-        model.select(*by, F.explode("classes").alias("c"))
-        .select(*by, "c.label", F.exp("c.log_prior").alias("prior"), F.posexplode(
+        model.select(*by, F.explode_outer("classes").alias("c"))
+        .select(*by, "c.label", F.exp("c.log_prior").alias("prior"), F.posexplode_outer(
             F.arrays_zip(F.col("c.mean").alias("mean"), F.col("c.var").alias("var"))
         ).alias("feature", "p"))
         .select(*by, "label", "prior", "feature", "p.mean", "p.var")
@@ -121,11 +125,18 @@ def best_label(scores: Column) -> Column:
 
 def posterior(scores: Column) -> Column:
     """Array of struct(label, proba) by log-sum-exp."""
-    top = F.array_max(F.transform(scores, lambda s: s["score"]))
-    mass = F.aggregate(scores, F.lit(0.0), lambda acc, s: acc + F.exp(s["score"] - top))
-    return F.transform(
-        scores, lambda s: F.struct(s["label"].alias("label"), (F.exp(s["score"] - top) / mass).alias("proba"))
-    )
+
+    def shares(top: Column) -> Column:
+        mass = F.aggregate(scores, F.lit(0.0), lambda acc, s: acc + F.exp(s["score"] - top))
+        return V.bind(
+            mass,
+            lambda whole: F.transform(
+                scores,
+                lambda s: F.struct(s["label"].alias("label"), (F.exp(s["score"] - top) / whole).alias("proba")),
+            ),
+        )
+
+    return V.bind(F.array_max(F.transform(scores, lambda s: s["score"])), shares)
 
 
 def _scored(df: DataFrame, classes: Column, features: str, proba: bool) -> DataFrame:

@@ -167,7 +167,9 @@ def fit(
     if name == "svm":
         width = len(train.select(features).first()[0])
         expand = fourier_features(width, kernel_width(train, chosen["gamma"], features), seed)
-        prepare = lambda df: df.withColumn("vector", V.to_vector(expand(F.col(features))))
+        prepare = lambda df: V.fenced(df, features, F.col(features)).withColumn(
+            "vector", V.to_vector(expand(F.col(features)))
+        )
 
     ready = (
         prepare(train)

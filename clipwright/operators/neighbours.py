@@ -15,6 +15,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
+from clipwright.functions import vectors as V
+
 PIVOTS = 16
 BLOCK_ROWS = 4096
 QUERY_SLICE = 256
@@ -76,7 +78,7 @@ def nearest(
         cell = away.argmin(1)
         return pd.DataFrame({"cell": cell.astype("int32"), "reach": away[np.arange(len(cell)), cell]})
 
-    placed = reference.select(
+    placed = V.fenced(reference, features, F.col(features)).select(
         F.col(id_column).alias("reference_id"), F.col(carry).alias("carried"), F.col(features).alias("point"),
         assign(F.col(features)).alias("_a"),
     ).select("reference_id", "carried", "point", "_a.cell", "_a.reach")
@@ -116,7 +118,7 @@ def nearest(
     query_blocks = max(1, math.ceil(queries.count() / block_rows))
     sizes = F.array(*[F.lit(int(b)) for b in blocks])
     asked = (
-        queries.select(
+        V.fenced(queries, features, F.col(features)).select(
             F.col(id_column).alias("query_id"), F.col(features).alias("point"),
             F.explode(route(F.col(features))).alias("cell"),
         )

@@ -28,6 +28,11 @@ class Geometry:
     def window(self) -> int:
         return 2 * self.frame
 
+    @property
+    def shortest(self) -> int:
+        """Samples needed for one window."""
+        return self.frame + self.hop
+
     @property
     def bins(self) -> int:
         return self.frame
@@ -35,22 +40,16 @@ class Geometry:
 
 def peak_normalized(samples: Column) -> Column:
     peak = F.array_max(F.transform(samples, F.abs))
-    return F.transform(F.array(peak), lambda p: F.transform(
-        samples, lambda s: F.when(p > 0, s / p).otherwise(s)
-    ))[0]
+    return V.bind(peak, lambda p: F.when(p > 0, V.scale(samples, 1.0 / p)).otherwise(samples))
 
 
 def centred(samples: Column) -> Column:
     """Remove the mean and divide by the largest magnitude, as the feature definitions expect."""
-    moved = F.transform(
-        F.array(V.total(samples) / F.size(samples)), lambda m: F.transform(samples, lambda s: s - m)
-    )[0]
-    return F.transform(
-        F.array(moved),
-        lambda z: F.transform(
-            F.array(F.array_max(F.transform(z, F.abs)) + 1e-10), lambda p: F.transform(z, lambda s: s / p)
-        )[0],
-    )[0]
+    moved = V.bind(V.total(samples) / F.size(samples), lambda m: F.transform(samples, lambda s: s - m))
+    return V.bind(
+        moved,
+        lambda z: V.bind(F.array_max(F.transform(z, F.abs)) + 1e-10, lambda p: F.transform(z, lambda s: s / p)),
+    )
 
 
 def frame_count(samples: Column, frame: int, hop: int) -> Column:
@@ -59,13 +58,13 @@ def frame_count(samples: Column, frame: int, hop: int) -> Column:
 
 def frames(samples: Column, frame: int, hop: int) -> Column:
     """Overlapping frames; NULL for a clip shorter than one frame."""
-    return F.when(
-        F.size(samples) >= frame,
-        F.transform(
-            F.sequence(F.lit(0), frame_count(samples, frame, hop) - 1),
-            lambda i: F.slice(samples, i * hop + 1, F.lit(frame)),
-        ),
-    )
+    def cut(x: Column) -> Column:
+        places = F.sequence(F.lit(0), frame_count(x, frame, hop) - 1)
+        return F.when(
+            F.size(x) >= frame, F.transform(places, lambda i: F.slice(x, i * hop + 1, F.lit(frame)))
+        )
+
+    return V.bind(samples, cut)
 
 
 def trimmed(samples: Column, frame: int, hop: int, top_db: float = 20.0) -> Column:
@@ -74,48 +73,53 @@ def trimmed(samples: Column, frame: int, hop: int, top_db: float = 20.0) -> Colu
     Frames are not centred or padded.  A clip shorter than one frame, or silent, is kept whole.
     """
     share = 10.0 ** (-top_db / 10.0)
-    power = F.transform(frames(samples, frame, hop), S.mean_square)
-    loud = F.transform(
-        F.array(power),
-        lambda p: F.filter(
-            F.transform(p, lambda e, i: F.when(e > F.array_max(p) * share, i)), lambda i: i.isNotNull()
-        ),
-    )[0]
-    return F.transform(
-        F.array(loud),
-        lambda keep: F.when(keep.isNull() | (F.size(keep) == 0), samples).otherwise(
-            F.slice(samples, F.array_min(keep) * hop + 1, (F.array_max(keep) - F.array_min(keep)) * hop + frame)
-        ),
-    )[0]
+
+    def keep(x: Column) -> Column:
+        def loud(power: Column) -> Column:
+            return V.bind(
+                F.array_max(power) * share,
+                lambda bar: F.filter(
+                    F.transform(power, lambda e, i: F.when(e > bar, i)), lambda i: i.isNotNull()
+                ),
+            )
+
+        power = F.transform(frames(x, frame, hop), S.mean_square)
+        return V.bind(
+            V.bind(power, loud),
+            lambda at: F.when(at.isNull() | (F.size(at) == 0), x).otherwise(
+                F.slice(x, F.array_min(at) * hop + 1, (F.array_max(at) - F.array_min(at)) * hop + frame)
+            ),
+        )
+
+    return V.bind(samples, keep)
 
 
 def short_term_windows(framed: Column) -> Column:
     """Windows over the flattened frames: frame *i* followed by frame *i+1*."""
-    return F.when(
-        F.size(framed) >= 2,
-        F.transform(
-            F.sequence(F.lit(1), F.size(framed) - 1),
-            lambda i: F.concat(F.get(framed, i - 1), F.get(framed, i)),
-        ),
-    )
+    def pair(x: Column) -> Column:
+        places = F.sequence(F.lit(1), F.size(x) - 1)
+        return F.when(F.size(x) >= 2, F.transform(places, lambda i: F.concat(F.get(x, i - 1), F.get(x, i))))
+
+    return V.bind(framed, pair)
 
 
 def prepare(clips: DataFrame, g: Geometry, trim: bool = True) -> DataFrame:
-    """Normalise, trim and frame; clips too short for one frame are left out."""
-    out = clips.withColumn("samples", peak_normalized(F.col("samples")))
+    """Normalise, trim and frame; clips too short for one window are left out.
+
+    The test needs only the number of samples, so it runs before any signal work.
+    """
+    if trim and g.trim_frame < g.shortest:
+        raise ValueError("a trimmed clip could be shorter than one window")
+    out = clips.where(F.size("samples") >= g.shortest).withColumn("samples", peak_normalized(F.col("samples")))
     if trim:
         out = out.withColumn("samples", trimmed(F.col("samples"), g.trim_frame, g.trim_hop))
-    return out.withColumn("frames", frames(F.col("samples"), g.frame, g.hop)).where(F.col("frames").isNotNull())
+    return out.withColumn("frames", frames(F.col("samples"), g.frame, g.hop))
 
 
 def with_windows(clips: DataFrame, g: Geometry) -> DataFrame:
     """Add ``windows`` of each clip's raw samples; clips with no window are left out."""
-    return (
-        clips.withColumn("frames", frames(F.col("samples"), g.frame, g.hop))
-        .withColumn("windows", short_term_windows(F.col("frames")))
-        .where(F.col("windows").isNotNull())
-        .drop("frames")
-    )
+    long_enough = clips.where(F.size("samples") >= g.shortest)
+    return V.fenced(long_enough, "windows", short_term_windows(frames(F.col("samples"), g.frame, g.hop)))
 
 
 def with_spectra(windowed: DataFrame, g: Geometry) -> DataFrame:
@@ -123,15 +127,20 @@ def with_spectra(windowed: DataFrame, g: Geometry) -> DataFrame:
 
 
 def per_window(df: DataFrame, column: str, name: str = "value", keys=("clip_id",)) -> DataFrame:
-    """Array per clip -> rows (keys..., win, value)."""
-    return df.select(*keys, F.posexplode(column).alias("win", name))
+    """Array per clip -> rows (keys..., win, value).
+
+    The outer form keeps the optimizer from evaluating the array a second time in a size filter.
+    """
+    return df.select(*keys, F.posexplode_outer(column).alias("win", name)).where(F.col("win").isNotNull())
 
 
 def fluxes(spectra: Column) -> Column:
     """Flux of each window against the one before; the first has none."""
-    return F.transform(
+    return V.bind(
         spectra,
-        lambda m, i: F.when(i == 0, F.lit(0.0)).otherwise(S.flux(m, F.get(spectra, i - 1))),
+        lambda x: F.transform(
+            x, lambda m, i: F.when(i == 0, F.lit(0.0)).otherwise(S.flux(m, F.get(x, i - 1)))
+        ),
     )
 
 
@@ -139,12 +148,14 @@ def short_term_matrix(windows: Column, spectra: Column, g: Geometry) -> Column:
     """Array of windows, each an array of the 34 base features."""
 
     def features(w: Column, m: Column, change: Column) -> Column:
-        moments = S.centroid_and_spread(m)
-        head = F.array(
-            S.zero_crossing_rate(w), S.mean_square(w), S.block_entropy(w),
-            moments["centroid"], moments["spread"], S.block_entropy(m), change, S.rolloff(m),
+        head = V.bind(
+            S.centroid_and_spread(m),
+            lambda c: F.array(
+                S.zero_crossing_rate(w), S.mean_square(w), S.block_entropy(w),
+                c["centroid"], c["spread"], S.block_entropy(m), change, S.rolloff(m),
+            ),
         )
-        pitch = F.transform(F.array(S.chroma(m, g.rate, g.bins)), lambda c: F.concat(c, F.array(S.population_std(c))))[0]
+        pitch = V.bind(S.chroma(m, g.rate, g.bins), lambda c: F.concat(c, F.array(S.population_std(c))))
         return F.concat(head, S.cepstrum(m, g.rate, g.bins), pitch)
 
     rows = F.arrays_zip(windows.alias("w"), spectra.alias("m"), fluxes(spectra).alias("c"))
@@ -153,15 +164,16 @@ def short_term_matrix(windows: Column, spectra: Column, g: Geometry) -> Column:
 
 def with_deltas(matrix: Column) -> Column:
     """Append the change of every feature since the previous window; zero in the first window."""
-    return F.transform(
-        matrix,
-        lambda row, i: F.concat(
-            row,
-            F.when(i == 0, F.transform(row, lambda v: v * 0.0)).otherwise(
-                V.subtract(row, F.get(matrix, i - 1))
+    def change(x: Column) -> Column:
+        return F.transform(
+            x,
+            lambda row, i: F.concat(
+                row,
+                F.when(i == 0, F.transform(row, lambda v: v * 0.0)).otherwise(V.subtract(row, F.get(x, i - 1))),
             ),
-        ),
-    )
+        )
+
+    return V.bind(matrix, change)
 
 
 def clip_statistics(matrix: Column) -> Column:
@@ -169,40 +181,34 @@ def clip_statistics(matrix: Column) -> Column:
 
     All means come first, then all minima, maxima and deviations.
     """
-    series = F.transform(
-        F.sequence(F.lit(0), F.size(F.get(matrix, F.lit(0))) - 1),
-        lambda j: F.transform(matrix, lambda row: F.get(row, j)),
-    )
-    return F.transform(
-        F.array(series),
-        lambda s: F.concat(
+    def series(x: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(F.get(x, F.lit(0))) - 1)
+        return F.transform(places, lambda j: F.transform(x, lambda row: F.get(row, j)))
+
+    def statistics(s: Column) -> Column:
+        return F.concat(
             F.transform(s, lambda v: V.total(v) / F.size(v)),
             F.transform(s, F.array_min),
             F.transform(s, F.array_max),
             F.transform(s, S.population_std),
-        ),
-    )[0]
+        )
+
+    return V.bind(V.bind(matrix, series), statistics)
 
 
 def clip_features(clips: DataFrame, g: Geometry, trim: bool = True) -> DataFrame:
     """Clips to ``features``: 272 numbers named by ``spectra.CLIP_FEATURE_NAMES``."""
-    flat = (
-        prepare(clips, g, trim)
-        .withColumn("windows", short_term_windows(F.col("frames")))
-        .where(F.col("windows").isNotNull())
-    )
+    ready = prepare(clips, g, trim)
+    flat = V.fenced(ready, "windows", short_term_windows(F.col("frames")))
     spectral = with_spectra(flat, g)
-    matrix = spectral.withColumn("matrix", short_term_matrix(F.col("windows"), F.col("spectra"), g))
-    return (
-        matrix.withColumn("matrix", with_deltas(F.col("matrix")))
-        .withColumn("features", clip_statistics(F.col("matrix")))
-        .drop("samples", "frames", "windows", "spectra", "matrix")
-    )
+    matrix = with_deltas(short_term_matrix(F.col("windows"), F.col("spectra"), g))
+    rest = spectral.drop("samples", "frames")
+    return V.fenced(rest, "features", clip_statistics(matrix)).drop("windows", "spectra")
 
 
 def long_statistics(features: DataFrame, names: list[str] | None = None, keys=("clip_id",)) -> DataFrame:
     """Rows (keys..., name, value) of an array of features."""
     table = F.array(*[F.lit(n) for n in (names or S.CLIP_FEATURE_NAMES)])
-    return features.select(*keys, F.posexplode("features").alias("_j", "value")).select(
+    return features.select(*keys, F.posexplode_outer("features").alias("_j", "value")).select(
         *keys, F.get(table, F.col("_j")).alias("name"), "value"
     )
