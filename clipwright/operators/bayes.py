@@ -174,7 +174,6 @@ def leave_one_out_models(
     """
     centre = M.centre_of(df, features)
     outside = M.leave_one_out(M.moment_sums(df, [fold, label], centre, features), fold, label)
-    outside = outside.persist()
     scalers = M.fold_scalers(outside, fold, centre)
     stats = M.moments_of_sums(outside, [fold, label], centre).join(
         scalers.select(fold, F.col("mean").alias("_mu"), F.col("std").alias("_sd")), fold

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clipwright.operators import ranking
+from clipwright.session import settle
 
 GRID_STEPS = 100
 
@@ -53,7 +54,10 @@ def score_counts(long: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def _walked(long: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct scores with cumulative ``tps`` / ``fps`` and the class totals ``p`` / ``m``."""
-    cells = score_counts(long, keys)
+    return _walk(score_counts(long, keys), keys)
+
+
+def _walk(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
     group = [*keys, "class"]
     walked = ranking.running_sums(cells, group, [F.col("_down")], {"tps": F.col("pos"), "fps": F.col("neg")})
     totals = cells.groupBy(*group).agg(F.sum("pos").alias("p"), F.sum("neg").alias("m"))
@@ -62,12 +66,12 @@ def _walked(long: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def roc_points(long: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """FPR and TPR at each distinct score, plus the origin; ties are merged."""
-    long = long.where(F.col("score").isNotNull())
-    walked = _walked(long, keys)
+    cells = score_counts(long.where(F.col("score").isNotNull()), keys)
+    walked = _walk(cells, keys)
     tpr = F.try_divide(F.col("tps").cast("double"), F.col("p"))
     fpr = F.try_divide(F.col("fps").cast("double"), F.col("m"))
     points = walked.select(*keys, "class", "score", fpr.alias("fpr"), tpr.alias("tpr"))
-    origin = long.select(*keys, "class").distinct().select(
+    origin = cells.select(*keys, "class").distinct().select(
         *keys, "class", F.lit(None).cast("double").alias("score"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
     )
     return points.unionByName(origin)
@@ -152,11 +156,15 @@ def interpolate(curves: DataFrame, wanted: DataFrame, group: Sequence[str], buck
 
 
 def macro_curve(points: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Mean over classes of the curves, on the union of their FPR values."""
+    """Mean over classes of the curves, on the union of their FPR values.
+
+    The step curves are read several times, so they are written once to the shared folder.
+    """
     keys = list(keys)
-    steps = steps_of(points, keys).withColumnRenamed("fpr", "x")
+    nodes = settle(steps_of(points, keys))
+    steps = nodes.withColumnRenamed("fpr", "x")
     known = steps.groupBy(*keys).agg(F.collect_set("class").alias("_classes")) if keys else None
-    grid = fpr_grid(points, keys).withColumnRenamed("fpr", "x")
+    grid = fpr_grid(nodes, keys).withColumnRenamed("fpr", "x")
     if keys:
         wanted = grid.join(known, keys)
     else:
@@ -173,6 +181,7 @@ def average_curves(curves: DataFrame, keys: Sequence[str], fold: str, steps: int
     grid cell before any ordering happens.
     """
     keys = list(keys)
+    curves = settle(curves)
     cell = F.floor(F.col("fpr") * steps).cast("int")
     # guard against 0.29 * 100 = 28.999...: a point belongs to cell j from j / steps on
     cell = F.when(F.col("fpr") >= (cell + 1) / F.lit(float(steps)), cell + 1).otherwise(cell)
