@@ -24,6 +24,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """One partition per core for a table that is a single small file; a large table stays as it is."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
 def clips(spark: SparkSession, sf_dir: str) -> DataFrame:
     vec = F.col("vec_id")
     plain = F.concat(F.lit("data/Session"), (vec % 5 + 1).cast("string"), F.lit("/wav/clip_"), vec.cast("string"), F.lit(".wav"))
@@ -38,7 +44,7 @@ def clips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clips(spark, sf_dir).withColumnRenamed("samples", "features")
+    return spread(clips(spark, sf_dir)).withColumnRenamed("samples", "features")
 
 
 def wide_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,7 +113,7 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         for m, s in SHARPNESS.items() for w, h in SHIFTS.items()
     ]
     ranked = [F.struct(F.lit(t).alias("class"), F.lit(float(i)).alias("place")) for i, t in enumerate(TYPES)]
-    rows = events(spark, sf_dir).select("*", F.explode(F.array(*kinds)).alias("k")).select(
+    rows = spread(events(spark, sf_dir)).select("*", F.explode(F.array(*kinds)).alias("k")).select(
         "*", F.explode(F.array(*ranked)).alias("c")
     )
     raw = 1.0 / (1.0 + F.abs(F.col("value") / F.col("k.sharp") - F.col("c.place") - F.col("k.shift")))

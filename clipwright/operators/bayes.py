@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from clipwright.functions import vectors as V
 from clipwright.operators import moments as M
 from clipwright.operators.sizing import small_side
+from clipwright.session import settle
 
 SMOOTHING = 1e-9
 
@@ -172,8 +173,8 @@ def leave_one_out_models(
     Each model is fitted on the rows outside its fold, in the space scaled by those rows.
     One pass over the data serves all folds and all candidates.
     """
-    centre = M.centre_of(df, features)
-    outside = M.leave_one_out(M.moment_sums(df, [fold, label], centre, features), fold, label)
+    centre = settle(M.centre_of(df, features))
+    outside = settle(M.leave_one_out(M.moment_sums(df, [fold, label], centre, features), fold, label))
     scalers = M.fold_scalers(outside, fold, centre)
     stats = M.moments_of_sums(outside, [fold, label], centre).join(
         scalers.select(fold, F.col("mean").alias("_mu"), F.col("std").alias("_sd")), fold

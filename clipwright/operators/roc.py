@@ -126,25 +126,32 @@ def interpolate(curves: DataFrame, wanted: DataFrame, group: Sequence[str], buck
     """
     group = list(group)
     slot = F.least(F.floor(F.col("x") * buckets), F.lit(buckets - 1)).cast("int")
-    nodes = curves.select(*group, "x", F.struct(F.col("x"), F.col("lo"), F.col("hi")).alias("node"))
-    blank = wanted.select(*group, "x").withColumn("wanted", F.lit(True))
-    merged = blank.join(nodes, [*group, "x"], "full").withColumn("_bucket", slot)
+    nodes = curves.select(
+        *group, "x", F.struct(F.col("x"), F.col("lo"), F.col("hi")).alias("node"), F.lit(False).alias("wanted")
+    )
+    blank = wanted.select(*group, "x").withColumns({"node": F.lit(None), "wanted": F.lit(True)})
+    merged = nodes.unionByName(blank).withColumn("_bucket", slot)
 
     ends = nodes.withColumn("_bucket", slot).groupBy(*group, "_bucket").agg(
         F.min("node").alias("_first"), F.max("node").alias("_last")
     )
     edge = Window.partitionBy(*group).orderBy("_bucket")
+    back = Window.partitionBy(*group).orderBy(F.desc("_bucket"))
     frame = merged.select(*group, "_bucket").distinct().join(ends, [*group, "_bucket"], "left")
     carried = frame.select(
         *group,
         "_bucket",
         F.last("_last", ignorenulls=True).over(edge.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
-        F.first("_first", ignorenulls=True).over(edge.rowsBetween(1, Window.unboundedFollowing)).alias("_after"),
+        F.last("_first", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1)).alias("_after"),
     )
-    inside = Window.partitionBy(*group, "_bucket").orderBy("x")
+    # both windows only ever look back, which keeps them linear; a node comes before a wanted row of
+    # the same x on the way up and after it on the way down
+    up = Window.partitionBy(*group, "_bucket").orderBy("x", "wanted")
+    down = Window.partitionBy(*group, "_bucket").orderBy(F.desc("x"), F.desc("wanted"))
+    so_far = (Window.unboundedPreceding, 0)
     spread = merged.withColumns({
-        "_here": F.last("node", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0)),
-        "_there": F.first("node", ignorenulls=True).over(inside.rowsBetween(1, Window.unboundedFollowing)),
+        "_here": F.last("node", ignorenulls=True).over(up.rowsBetween(*so_far)),
+        "_there": F.last("node", ignorenulls=True).over(down.rowsBetween(*so_far)),
     })
     found = spread.where("wanted").join(carried, [*group, "_bucket"]).select(
         *group, "x", F.coalesce("_here", "_before").alias("a"), F.coalesce("_there", "_after").alias("b")
@@ -197,10 +204,11 @@ def average_curves(curves: DataFrame, keys: Sequence[str], fold: str, steps: int
         *group, F.explode(F.sequence(F.lit(0), F.lit(steps))).alias("_cell")
     )
     edge = Window.partitionBy(*group).orderBy("_cell")
+    back = Window.partitionBy(*group).orderBy(F.desc("_cell"))
     laid = grid.join(packed, [*group, "_cell"], "left").withColumn("x", F.col("_cell") / F.lit(float(steps)))
     laid = laid.withColumns({
         "_before": F.last("_last", ignorenulls=True).over(edge.rowsBetween(Window.unboundedPreceding, -1)),
-        "_after": F.first("_first", ignorenulls=True).over(edge.rowsBetween(1, Window.unboundedFollowing)),
+        "_after": F.last("_first", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1)),
     })
     first, before, x = F.col("_first"), F.col("_before"), F.col("x")
     after = F.coalesce(first, F.col("_after"))
