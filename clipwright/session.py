@@ -22,6 +22,8 @@ def local_session(cpus: str | int = "*", app: str = "clipwright", memory: str =
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
+        # plans here hold many small column expressions; recording a stack per expression costs seconds
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
