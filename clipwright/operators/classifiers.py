@@ -8,6 +8,7 @@ struct(label, proba) in encoder order.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -41,7 +42,7 @@ SETTINGS: dict[str, dict[str, object]] = {
     "nb": {"var_smoothing": 1e-9},
 }
 FOURIER_FEATURES = 256
-MIN_TRAIN_ROWS = 500
+ROWS_PER_TASK = 5000
 
 
 @dataclass
@@ -68,7 +69,7 @@ def vectorized(df: DataFrame, classes: Sequence[str], features: str = "features"
     )
 
 
-def estimator(name: str, settings: Mapping[str, object], rows: int, seed: int = 42, parallelism: int = 4):
+def estimator(name: str, settings: Mapping[str, object], rows: int, seed: int = 42, parallelism: int = 8):
     """The MLlib estimator of a family, from settings in their published names."""
     columns = {"featuresCol": "vector", "labelCol": "label_enc"}
     if name == "dtr":
@@ -177,7 +178,11 @@ def fit(
         .persist()
     )
     try:
-        model = estimator(name, chosen, ready.count(), seed).fit(ready)
+        rows = ready.count()
+        # these families run a short job per round or step: tasks with few rows are all overhead
+        tasks = math.ceil(rows / ROWS_PER_TASK)
+        held = ready.coalesce(max(1, tasks)) if name in ("xgb", "svm", "logistic") else ready
+        model = estimator(name, chosen, rows, seed).fit(held)
     finally:
         ready.unpersist()
     has_proba = name not in ("svm", "xgb")
