@@ -4,4 +4,13 @@ Every function takes and returns DataFrames (or Columns) and leaves the physical
 plan to Spark.  Fitted parameters whose size is fixed by the schema (features x
 classes) travel as one-row scalar subqueries or literals; everything that grows
 with the rows stays distributed.
+
+Functions of this package that run inside tasks are sent by value, so executors
+need no copy of the package on their path.
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
