@@ -71,3 +71,11 @@ def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     from clipwright.llm.urls import judge_urls
 
     return judge_urls(table(spark, folder, "pages"), URL_RULES)
+
+
+@query("op4_simhash")
+def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    from clipwright.llm.simhash import as_hex, near_duplicates
+
+    found = near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", as_hex().alias("fingerprint"), "component_id")
