@@ -45,14 +45,15 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("op7_topk", """
-    WITH v AS (
-      SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT) AS x FROM embeddings
-      WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-        AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    WITH e AS (
+      SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings
+      WHERE vec_id IS NOT NULL),
+    v AS (
+      SELECT vec_id, i, floor(256 * x)::BIGINT AS x FROM e
+      WHERE vec_id NOT IN (SELECT vec_id FROM e WHERE x IS NULL OR NOT isfinite(x))),
     s AS (
-      SELECT q.vec_id AS query_id, c.vec_id,
-             list_sum(list_transform(list_zip(q.x, c.x), p -> p[1] * p[2]))::BIGINT AS score
-      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+      SELECT q.vec_id AS query_id, c.vec_id, sum(q.x * c.x)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND q.i = c.i GROUP BY ALL),
     r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
     SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """)
@@ -79,3 +80,55 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
     found = near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", as_hex().alias("fingerprint"), "component_id")
+
+
+# fixed values: phrases and labels of the scan's base
+LICENSE_PHRASES = [("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")]
+#: Short notices by which works state their license.
+LICENSE_TEMPLATES = [
+    ("mit", "Released under the MIT License."),
+    ("apache-2", "Licensed under the Apache License, Version 2.0."),
+    ("bsd-3", "Use of this source code is governed by a BSD 3-clause license."),
+    ("gpl-3", "This work is licensed under the GNU General Public License, version 3."),
+    ("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("cc-by-nc", "Licensed under CC BY-NC 4.0."),
+    ("cc-by-sa", "Licensed under CC BY-SA 4.0."),
+]
+LICENSE_CONTAINMENT = 0.9
+
+
+def _license_check() -> str:
+    from clipwright.llm.licenses import template_words
+
+    def quoted(words) -> str:
+        return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+    places = " UNION ALL ".join(
+        f"SELECT doc_id, '{label}' AS label, i - 1 AS place FROM words, unnest(range(1, len(w) + 1)) AS r(i) "
+        f"WHERE w[i:i + {len(phrase.split()) - 1}] = {quoted(phrase.split())}" for phrase, label in LICENSE_PHRASES)
+    templates = ", ".join(f"('{label}', {quoted(sorted(template_words(text)))})" for label, text in LICENSE_TEMPLATES)
+    return rf"""
+    WITH low AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+                 FROM documents),
+    words AS (SELECT doc_id, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM low),
+    places AS ({places}),
+    base AS (SELECT doc_id, count(*) AS n, min(place) AS f, max(place) AS l, list(DISTINCT label) AS labels FROM places GROUP BY doc_id),
+    templates(label, t) AS (VALUES {templates}),
+    blocks AS (SELECT doc_id, list_distinct(regexp_extract_all(line, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS b
+               FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM low)),
+    method AS (SELECT doc_id, list(DISTINCT label) AS labels, max(len(list_intersect(b, t)) / len(t)) AS share
+               FROM blocks, templates WHERE len(list_intersect(b, t)) >= ceil({LICENSE_CONTAINMENT} * len(t) - 1e-9) GROUP BY doc_id)
+    SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(base.n, 0)::BIGINT AS n_base, base.f::BIGINT AS first_word,
+           base.l::BIGINT AS last_word, coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
+           coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(method.labels, [])))), ','), '') AS labels,
+           CASE WHEN base.n > 0 THEN 1.0 ELSE coalesce(method.share, 0.0) END::DOUBLE AS score
+    FROM words w LEFT JOIN base USING (doc_id) LEFT JOIN method USING (doc_id)
+    """
+
+
+@query("op5_licenses", _license_check())
+def op5_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    from clipwright.llm.licenses import scan_licenses
+
+    return scan_licenses(table(spark, folder, "documents"), LICENSE_PHRASES, LICENSE_TEMPLATES, LICENSE_CONTAINMENT)
