@@ -132,3 +132,10 @@ def op5_licenses(spark: SparkSession, folder: str) -> DataFrame:
     from clipwright.llm.licenses import scan_licenses
 
     return scan_licenses(table(spark, folder, "documents"), LICENSE_PHRASES, LICENSE_TEMPLATES, LICENSE_CONTAINMENT)
+
+
+@query("op6_pii")
+def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
+    from clipwright.llm.pii import digests, find_personal_data
+
+    return digests(find_personal_data(table(spark, folder, "documents")))
