@@ -139,3 +139,19 @@ def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
     from clipwright.llm.pii import digests, find_personal_data
 
     return digests(find_personal_data(table(spark, folder, "documents")))
+
+
+#: Documents scoring at least this are kept.
+QUALITY_THRESHOLD = 0.3
+
+
+@query("op2_quality")
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    from clipwright.llm.common import held_out
+    from clipwright.llm.quality import fit_voter, score_documents
+
+    docs = table(spark, folder, "documents")
+    voter = fit_voter(docs, table(spark, folder, "labels"))
+    scored = score_documents(docs, voter, keep=["doc_id"])
+    return scored.select("doc_id", held_out("doc_id", 0).alias("held_out"), F.col("_score").alias("score"),
+                         (F.col("_score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
