@@ -155,3 +155,14 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     scored = score_documents(docs, voter, keep=["doc_id"])
     return scored.select("doc_id", held_out("doc_id", 0).alias("held_out"), F.col("_score").alias("score"),
                          (F.col("_score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
+
+
+@query("op10_kneser_ney")
+def op10_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
+    from clipwright.llm.common import held_out
+    from clipwright.llm.kneser_ney import fit, score
+
+    docs = table(spark, folder, "documents")
+    model = fit(docs.filter(~held_out("doc_id", 1)))
+    return score(docs, model, ["doc_id"]).select(
+        "doc_id", held_out("doc_id", 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
