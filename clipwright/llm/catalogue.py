@@ -166,3 +166,10 @@ def op10_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
     model = fit(docs.filter(~held_out("doc_id", 1)))
     return score(docs, model, ["doc_id"]).select(
         "doc_id", held_out("doc_id", 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+
+
+@query("op3_decontamination")
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    from clipwright.llm.decontaminate import contaminated
+
+    return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
