@@ -173,3 +173,14 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     from clipwright.llm.decontaminate import contaminated
 
     return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op9_segmentation")
+def op9_segmentation(spark: SparkSession, folder: str) -> DataFrame:
+    """Two sampled segmentations of every document; the pieces are given by their digest."""
+    import public_tokenizers
+
+    from clipwright.llm.segment import encode_samples
+
+    samples = encode_samples(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return samples.withColumn("pieces_sha256", F.sha2("pieces", 256)).drop("pieces")
