@@ -40,6 +40,12 @@ def lower_ascii(column: Column) -> Column:
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def row_key(id_column: str, text_column: str) -> Column:
+    """Id, hash and length of the text: rows that share a key are equal in both, so their results may be shared."""
+    text = whole_text(text_column)
+    return F.struct(F.col(id_column).alias("id"), F.xxhash64(text).alias("hash"), F.length(text).alias("length"))
+
+
 def held_out(id_column: str, remainder: int, folds: int = 5) -> Column:
     """Whether crc32 of the id written as text leaves ``remainder``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")) % folds == remainder

@@ -183,3 +183,29 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, match: int = 5, coverage
         part = rows.mapInArrow(searcher(shared), schema)
         result = part if result is None else result.unionByName(part)
     return spark.createDataFrame([], schema) if result is None else result
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, match: int = 5, coverage: float = 0.5,
+                         block_words: int = 2_000_000, text_column: str = "text", item_column: str = "item_id",
+                         item_text_column: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose text no test item's tiles cover enough of."""
+    schema, at = docs.schema, docs.columns.index(text_column)
+
+    def keeper(shared):
+        def run(batches):
+            hasher = WordHasher()
+            for batch in batches:
+                keep = np.ones(batch.num_rows, bool)
+                texts = batch.column(at)
+                for begin, _, data, offsets in text_slices(texts):
+                    words, firsts = word_hashes(data, offsets, hasher)
+                    for doc, number, own in shared.value.pairs(words, firsts):
+                        covered = sum(length for _, _, length in own)
+                        keep[begin + doc] &= covered / len(shared.value.words[number]) < coverage
+                yield batch.filter(pa.array(keep))
+
+        return run
+
+    for items in _item_blocks(benchmark, item_column, item_text_column, match, block_words):
+        docs = docs.mapInArrow(keeper(docs.sparkSession.sparkContext.broadcast(Block(items, match))), schema)
+    return docs

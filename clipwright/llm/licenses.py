@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clipwright.llm.common import lower_ascii, whole_text
+from clipwright.llm.common import lower_ascii, row_key, whole_text
 
 #: What is between words, after A-Z became lower case.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -110,9 +110,7 @@ def scan_licenses(docs: DataFrame, phrases: Sequence[tuple[str, str]], templates
     ``score`` is 1 where a phrase stands and the best template containment elsewhere, 0 without a match.
     """
     text = whole_text(text_column)
-    # rows of equal id and text have equal results, so they may share a key
-    docs = docs.select(F.col(id_column).alias("_id"), lower_ascii(text).alias("low")).withColumn(
-        "key", F.struct(F.col("_id").alias("id"), F.xxhash64("low").alias("hash"), F.length("low").alias("length")))
+    docs = docs.select(F.col(id_column).alias("_id"), lower_ascii(text).alias("low")).withColumn("key", row_key("_id", "low"))
     matches = template_matches(docs, templates, containment).groupBy("key").agg(
         F.array_sort(F.collect_set("label")).alias("more"), F.max("share").alias("share"))
     base = phrase_places(docs, phrases).select(

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clipwright.llm.common import whole_text, written
+from clipwright.llm.common import row_key, whole_text, written
 
 # Possessive and anchored forms of the kinds' expressions: they match the same places without rescanning long runs.
 LOCAL, DOMAIN = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
@@ -141,9 +141,7 @@ def find_personal_data(docs: DataFrame, rounds: int = 3, support: int = 5, confi
                        id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, key, base, spans) of every document; both arrays hold structs (s, o, e, kind, m) by start, then kind."""
     docs = docs.select(F.col(id_column).alias("_id"), whole_text(text_column).alias("text"))
-    # rows of equal id and text have equal results, so they may share a key
-    key = F.struct(F.col("_id").alias("id"), F.xxhash64("text").alias("hash"), F.length("text").alias("length"))
-    marked = docs.withColumns({"key": key, "base": base_spans(F.col("text"))})
+    marked = docs.withColumns({"key": row_key("_id", "text"), "base": base_spans(F.col("text"))})
     # most texts have neither an entity nor a digit; they need not be looked at again
     candidates = written(_candidates(marked.filter(F.col("text").rlike("[0-9@]"))), "pii-candidates")
     patterns = trusted_patterns(candidates, rounds, support, confidence)
@@ -179,8 +177,6 @@ def redact(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     """The documents, all columns, with personal data replaced by its kind; a null text stays null."""
     found = find_personal_data(docs, id_column=id_column, text_column=text_column, **settings)
     found = found.filter(F.size("spans") > 0).select(F.col("key").alias("_key"), F.col("spans").alias("_spans")).distinct()
-    text = whole_text(docs[text_column])
-    key = F.struct(docs[id_column].alias("id"), F.xxhash64(text).alias("hash"), F.length(text).alias("length"))
-    joined = docs.join(found, key.eqNullSafe(F.col("_key")), "left")
+    joined = docs.join(found, row_key(id_column, text_column).eqNullSafe(F.col("_key")), "left")
     return joined.withColumn(text_column, F.when(F.col("_spans").isNull(), F.col(text_column)).otherwise(
         redacted(F.col(text_column), F.col("_spans")))).select(*docs.columns)
