@@ -153,8 +153,8 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     voter = fit_voter(docs, table(spark, folder, "labels"))
     scored = score_documents(docs, voter, keep=["doc_id"])
-    return scored.select("doc_id", held_out("doc_id", 0).alias("held_out"), F.col("_score").alias("score"),
-                         (F.col("_score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
+    return scored.select("doc_id", held_out("doc_id", 0).alias("held_out"), "score",
+                         (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
 
 
 @query("op10_kneser_ney")

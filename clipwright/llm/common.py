@@ -40,6 +40,14 @@ def lower_ascii(column: Column) -> Column:
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def fresh(name: str, df: DataFrame) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def row_key(id_column: str, text_column: str) -> Column:
     """Id, hash and length of the text: rows that share a key are equal in both, so their results may be shared."""
     text = whole_text(text_column)

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clipwright.llm.common import row_key, whole_text, written
+from clipwright.llm.common import fresh, row_key, whole_text, written
 
 # Possessive and anchored forms of the kinds' expressions: they match the same places without rescanning long runs.
 LOCAL, DOMAIN = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
@@ -175,8 +175,9 @@ def redacted(text: Column, spans: Column) -> Column:
 
 def redact(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **settings) -> DataFrame:
     """The documents, all columns, with personal data replaced by its kind; a null text stays null."""
+    key, spans = fresh("pii_key", docs), fresh("pii_spans", docs)
     found = find_personal_data(docs, id_column=id_column, text_column=text_column, **settings)
-    found = found.filter(F.size("spans") > 0).select(F.col("key").alias("_key"), F.col("spans").alias("_spans")).distinct()
-    joined = docs.join(found, row_key(id_column, text_column).eqNullSafe(F.col("_key")), "left")
-    return joined.withColumn(text_column, F.when(F.col("_spans").isNull(), F.col(text_column)).otherwise(
-        redacted(F.col(text_column), F.col("_spans")))).select(*docs.columns)
+    found = found.filter(F.size("spans") > 0).select(F.col("key").alias(key), F.col("spans").alias(spans)).distinct()
+    joined = docs.join(found, row_key(id_column, text_column).eqNullSafe(F.col(key)), "left")
+    return joined.withColumn(text_column, F.when(F.col(spans).isNull(), F.col(text_column)).otherwise(
+        redacted(F.col(text_column), F.col(spans)))).select(*docs.columns)

@@ -22,8 +22,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from clipwright.llm.common import WordHasher, held_out, runs, text_slices, whole_text
+from clipwright.llm.common import WordHasher, fresh, held_out, runs, text_slices, whole_text
 
 TRIGRAMS, SHAPES = 4096, 5
 TERMS = TRIGRAMS + SHAPES
@@ -167,12 +168,17 @@ def fit_voter(docs: DataFrame, labels: DataFrame, label: str = "quality", sample
     return voter
 
 
-def score_documents(docs: DataFrame, voter: Voter, text_column: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Columns ``keep`` (all if None) of every document and ``_score``, 0 to 1, higher for label 1."""
+def score_documents(docs: DataFrame, voter: Voter, into: str = "score", text_column: str = "text",
+                    keep: list[str] | None = None) -> DataFrame:
+    """Columns ``keep`` (all if None) of every document and ``into``: 0 to 1, higher for label 1.
+
+    ``into`` must not be one of the kept columns.
+    """
     spark = docs.sparkSession
     keep = docs.columns if keep is None else keep
-    rows = docs.select(*keep, whole_text(text_column).alias("_whole"))
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
+    rows = docs.select(*[docs[c] for c in keep], whole_text(docs[text_column]).alias(fresh("whole", docs)))
+    schema = StructType([*rows.schema.fields[:-1], StructField(into, DoubleType())])
+    shared = spark.sparkContext.broadcast(voter)
 
     def run(batches):
         for batch in batches:
@@ -181,7 +187,6 @@ def score_documents(docs: DataFrame, voter: Voter, text_column: str = "text", ke
                 scores[at:to] = shared.value.score(term_counts(data, offsets))
             # single-precision products differ in their last bits with the block they are in
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.round(scores, 6))],
-                                             names=[*batch.schema.names[:-1], "_score"])
+                                             names=[*batch.schema.names[:-1], into])
 
-    shared = spark.sparkContext.broadcast(voter)
-    return rows.mapInArrow(run, f"{kept}, _score double")
+    return rows.mapInArrow(run, schema)

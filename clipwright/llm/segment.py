@@ -102,6 +102,9 @@ class Lattice:
 def build_lattice(codes: np.ndarray, sizes: np.ndarray, vocabulary: Vocabulary) -> Lattice:
     """The lattice of units that stand one after the other in ``codes``."""
     n = len(codes)
+    if not n:
+        none = np.zeros(0, np.int64)
+        return Lattice(np.zeros(1, np.int64), none, none, np.zeros(0), np.zeros(0))
     ends = np.repeat(np.cumsum(sizes), sizes)
     left = ends - np.arange(n)                                  # characters to the end of the unit
     # fingerprints of all substrings that may be a piece, by Horner's rule from prefix values

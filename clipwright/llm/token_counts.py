@@ -91,13 +91,12 @@ def count_tokens(docs: DataFrame, tokenizer_file: str, cache: str, id_column: st
     shared = spark.sparkContext.broadcast(content)   # one vocabulary file
 
     text = whole_text(text_column)
-    keyed = docs.select(F.col(id_column).alias("id"), text.alias("text")).withColumn(
-        "digest", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
-    distinct = keyed.groupBy("digest").agg(F.min("id").alias("id"))
+    keyed = docs.select(F.coalesce(F.col(id_column).cast("string"), F.lit("")).alias("key"), text.alias("text"),
+                        F.unhex(F.sha2(text.cast("binary"), 256)).alias("digest"))
+    # one document for each digest that has no count; keyed by both, copies of a text are spread over the tasks
+    distinct = keyed.groupBy("digest").agg(F.min("key").alias("key"))
     misses = distinct.join(_stored(spark, cache, version).select("digest"), "digest", "left_anti")
-    chosen = keyed.alias("k").join(
-        misses.alias("m"), (F.col("k.digest") == F.col("m.digest")) & F.col("k.id").eqNullSafe(F.col("m.id")),
-    ).select("k.digest", "k.text")
+    chosen = keyed.dropDuplicates(["digest", "key"]).join(misses, ["digest", "key"]).select("digest", "text")
     fresh = chosen.mapInArrow(_encode(version, shared), "digest binary, n_tokens long")
     fresh.write.parquet(f"{cache.rstrip('/')}/tokenizer={version}/batch={uuid.uuid4().hex}")
 

@@ -10,10 +10,10 @@ as no vector outside a small set can reach the k-th best certain score, the quer
 then scored exactly from all their components.  Work is rows x queries by definition, in blocks on both sides, and
 each pair of blocks hands on k rows per query, so no task sees more than one block of each kind.
 
-Defined results: vectors that are null or hold null or non-finite components take no part, neither do those whose
-length is not the most common one among queries of a block (an inner product needs equal lengths: only pairs of equal
-length are scored); ties go to the smaller id; repeated rows are candidates of their own; null ids take no part; an
-empty table gives an empty result.
+Defined results: vectors that are null or empty or hold null or non-finite components take no part; only pairs of equal
+length are scored; ties go to the smaller id; repeated rows are candidates of their own, and an id that stands in
+several query rows is answered once, from all of them; null ids take no part; an empty table gives an empty result;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -149,6 +149,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_column: str = "ve
     rows = vectors.select(F.col(id_column).cast("long").alias("id"), quantised(F.col(vector_column)).alias("vector"),
                           F.coalesce(is_query, F.lit(False)).alias("is_query"))
     rows = rows.filter(F.col("id").isNotNull() & F.col("vector").isNotNull()).withColumn("width", F.size("vector"))
+    rows = rows.filter("width > 0")
     rows = written(rows, "topk-vectors")
     queries = rows.filter("is_query").dropDuplicates(["id", "vector"])
 
