@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog import views as T
-from catalog.registry import query, view
+from catalog.registry import copy_views, query, view
 from clipwright.functions import spectra as S, vectors as V
 from clipwright.operators import signals
 
@@ -15,7 +15,12 @@ view("frames", "SELECT clip_id, frame, samples[frame * 4 + 1 : frame * 4 + 10] A
 view("wins", """
     SELECT a.clip_id, a.frame AS win, list_concat(a.x, b.x) AS x
     FROM frames a JOIN frames b ON a.clip_id = b.clip_id AND b.frame = a.frame + 1""", "frames")
-view("wpos", "SELECT clip_id, win, p, x[p + 1] AS v FROM wins, range(0, 20) t(p)", "wins")
+view("level", """
+    SELECT clip_id, mean, max(abs(v - mean)) + 1e-10 AS peak
+    FROM (SELECT clip_id, v, avg(v) OVER (PARTITION BY clip_id) AS mean FROM (SELECT clip_id, unnest(x) AS v FROM frames))
+    GROUP BY clip_id, mean""", "frames")
+view("wpos", """
+    SELECT clip_id, win, p, (x[p + 1] - mean) / peak AS v FROM wins JOIN level USING (clip_id), range(0, 20) t(p)""", "wins", "level")
 view("spec", """
     SELECT clip_id, win, k, sqrt(power(sum(v * cos(2 * pi() * k * p / 20)), 2) + power(sum(v * sin(2 * pi() * k * p / 20)), 2)) / 10 AS m
     FROM wpos, range(0, 10) t(k) GROUP BY clip_id, win, k""", "wpos")
@@ -88,6 +93,24 @@ view("f_delta", """
     SELECT clip_id, win, 'delta ' || name AS name,
            coalesce(value - lag(value) OVER (PARTITION BY clip_id, name ORDER BY win), 0) AS value FROM f_all""", "f_all")
 
+# the whole chain: peak normalised, trimmed, framed; everything behind the frames as above
+view("kept", """
+    SELECT clip_id, list(v ORDER BY i) AS x
+    FROM (SELECT clip_id, min(f) AS lo, max(f) AS hi
+          FROM (SELECT clip_id, f, e, max(e) OVER (PARTITION BY clip_id) AS loudest
+                FROM (SELECT clip_id, f, avg(v * v) AS e FROM peaked, range(0, 13) t(f)
+                      WHERE i - 1 BETWEEN f * 4 AND f * 4 + 15 GROUP BY clip_id, f))
+          WHERE e > loudest * 0.01::DOUBLE GROUP BY clip_id) JOIN peaked USING (clip_id)
+    WHERE i - 1 BETWEEN lo * 4 AND hi * 4 + 15 GROUP BY clip_id""", "peaked")
+view("peaked", """
+    SELECT clip_id, i, v / max(abs(v)) OVER (PARTITION BY clip_id) AS v
+    FROM (SELECT clip_id, i, samples[i] AS v FROM clips, range(1, 65) t(i))""", "clips")
+view("whole_frames", """
+    SELECT clip_id, frame, x[frame * 4 + 1 : frame * 4 + 10] AS x FROM kept, range(0, 14) t(frame)
+    WHERE frame * 4 + 10 <= len(x)""", "kept")
+copy_views("whole_", ["frames", "level", "wins", "wpos", "spec", "f_zcr", "f_energy", "f_energy_entropy", "moments",
+                      "f_spectral_entropy", "f_flux", "f_rolloff", "f_mfcc", "f_chroma", "f_all", "f_delta"])
+
 WINDOWED = "SELECT clip_id, CAST(win AS INTEGER) AS win, round(value, 6) + 0.0 AS value FROM "
 
 
@@ -258,7 +281,16 @@ def clip_feature_stats(spark, d):
     return rows.select("clip_id", "name", *T.r6("value"))
 
 
-@query("clip_features")
+view("whole_stats", """
+    SELECT clip_id, name || '_' || stat AS name, value
+    FROM (SELECT clip_id, name, avg(value) AS mean, min(value) AS min, max(value) AS max, stddev_pop(value) AS std
+          FROM (SELECT * FROM whole_f_all UNION ALL SELECT * FROM whole_f_delta) GROUP BY clip_id, name)
+    UNPIVOT (value FOR stat IN (mean, min, max, std))""", "whole_f_all", "whole_f_delta")
+
+
+@query("clip_features", "SELECT clip_id, label, file_path, dataset, " + ", ".join(
+    f"round(max(CASE WHEN name = '{n}' THEN value END), 6) + 0.0 AS \"{n}\"" for n in S.CLIP_FEATURE_NAMES)
+    + " FROM clips JOIN whole_stats USING (clip_id) GROUP BY clip_id, label, file_path, dataset", "clips", "whole_stats")
 def clip_features(spark, d):
     """The whole chain from samples: normalise, trim, frame, features, statistics; one wide row per clip."""
     out = signals.clip_features(T.spread(T.clips(spark, d)), G)

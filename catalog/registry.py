@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import textwrap
 from collections.abc import Callable
 
@@ -17,6 +18,15 @@ def view(name: str, body: str, *needs: str) -> None:
     _VIEWS[name] = (list(needs), textwrap.dedent(body).strip())
 
 
+def copy_views(prefix: str, names: list[str]) -> None:
+    """The views again under prefixed names, reading each other's copies."""
+    words = re.compile(rf"\b({'|'.join(names)})\b")
+    for name in names:
+        if f"{prefix}{name}" not in _VIEWS:
+            needs, body = _VIEWS[name]
+            _VIEWS[prefix + name] = ([prefix + n if n in names else n for n in needs], words.sub(rf"{prefix}\1", body))
+
+
 def _ordered(names, seen):
     for name in names:
         if name not in seen:

@@ -43,13 +43,17 @@ def peak_normalized(samples: Column) -> Column:
     return V.bind(peak, lambda p: F.when(p > 0, V.scale(samples, 1.0 / p)).otherwise(samples))
 
 
-def centred(samples: Column) -> Column:
-    """Remove the mean and divide by the largest magnitude, as the feature definitions expect."""
-    moved = V.bind(V.total(samples) / F.size(samples), lambda m: F.transform(samples, lambda s: s - m))
-    return V.bind(
-        moved,
-        lambda z: V.bind(F.array_max(F.transform(z, F.abs)) + 1e-10, lambda p: F.transform(z, lambda s: s / p)),
-    )
+def centred(framed: Column) -> Column:
+    """Frames without the clip's mean and divided by its largest magnitude, as the feature definitions expect.
+
+    Both are taken over the frames as flattened, so samples of overlapping frames count as often as they stand there.
+    """
+    def move(frames_: Column) -> Column:
+        return V.bind(F.flatten(frames_), lambda x: V.bind(V.total(x) / F.size(x), lambda m: V.bind(
+            F.array_max(F.transform(x, lambda s: F.abs(s - m))) + 1e-10,
+            lambda p: F.transform(frames_, lambda f: F.transform(f, lambda s: (s - m) / p)))))
+
+    return V.bind(framed, move)
 
 
 def frame_count(samples: Column, frame: int, hop: int) -> Column:
@@ -117,9 +121,10 @@ def prepare(clips: DataFrame, g: Geometry, trim: bool = True) -> DataFrame:
 
 
 def with_windows(clips: DataFrame, g: Geometry) -> DataFrame:
-    """Add ``windows`` of each clip's raw samples; clips with no window are left out."""
+    """Add ``windows`` of each clip's centred frames; clips with no window are left out."""
     long_enough = clips.where(F.size("samples") >= g.shortest)
-    return V.fenced(long_enough, "windows", short_term_windows(frames(F.col("samples"), g.frame, g.hop)))
+    framed = centred(frames(F.col("samples"), g.frame, g.hop))
+    return V.fenced(long_enough, "windows", short_term_windows(framed))
 
 
 def with_spectra(windowed: DataFrame, g: Geometry) -> DataFrame:
@@ -199,7 +204,7 @@ def clip_statistics(matrix: Column) -> Column:
 def clip_features(clips: DataFrame, g: Geometry, trim: bool = True) -> DataFrame:
     """Clips to ``features``: 272 numbers named by ``spectra.CLIP_FEATURE_NAMES``."""
     ready = prepare(clips, g, trim)
-    flat = V.fenced(ready, "windows", short_term_windows(F.col("frames")))
+    flat = V.fenced(ready, "windows", short_term_windows(centred(F.col("frames"))))
     spectral = with_spectra(flat, g)
     matrix = with_deltas(short_term_matrix(F.col("windows"), F.col("spectra"), g))
     rest = spectral.drop("samples", "frames")
