@@ -8,22 +8,21 @@ from catalog import views as T
 from catalog.registry import query
 from clipwright.functions import vectors as V
 from clipwright.operators import labels as L, metrics, moments as M, neighbours, splits
-from clipwright.operators.sizing import class_names
 
 
 @query("label_encode", """
     SELECT clip_id, label, CAST(dense_rank() OVER (ORDER BY label) - 1 AS INTEGER) AS label_enc FROM clips""", "clips")
 def label_encode(spark, d):
-    rows = T.clips(spark, d)
-    return rows.select("clip_id", "label", L.encode(F.col("label"), class_names(rows)).alias("label_enc"))
+    rows = T.clips(spark, d).select("clip_id", "label")
+    return L.encode(rows, L.class_table(rows)).select("clip_id", "label", "label_enc")
 
 
 @query("label_decode", "SELECT clip_id, label AS decoded FROM clips", "clips")
 def label_decode(spark, d):
-    rows = T.clips(spark, d)
-    classes = class_names(rows)
-    coded = rows.select("clip_id", L.encode(F.col("label"), classes).alias("code"))
-    return coded.select("clip_id", L.decode(F.col("code"), classes).alias("decoded"))
+    rows = T.clips(spark, d).select("clip_id", "label")
+    classes = L.class_table(rows)
+    coded = L.encode(rows, classes).select("clip_id", "label_enc")
+    return L.decode(coded, classes, "label_enc", "decoded").select("clip_id", "decoded")
 
 
 @query("unseen_label_check", """

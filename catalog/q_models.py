@@ -311,11 +311,13 @@ def cv_tuning(spark, d):
 def refit_best(spark, d):
     scaled, classes, found = _search(spark, d)
     out = found.bestModel.transform(classifiers.vectorized(scaled, classes))
-    return out.select("clip_id", "label", L.decode(F.col("prediction").cast("int"), classes).alias("pred_label"))
+    return out.select("clip_id", "label", L.class_at(F.col("prediction").cast("int"), classes).alias("pred_label"))
 
 
 view("lc_fold", """
-    SELECT clip_id, label, (row_number() OVER (PARTITION BY label ORDER BY clip_id) - 1) % 5 AS fold FROM clips""", "clips")
+    SELECT clip_id, label, (r > n // 5)::INT + (r > 2 * n // 5)::INT + (r > 3 * n // 5)::INT + (r > 4 * n // 5)::INT AS fold
+    FROM (SELECT clip_id, label, count(*) OVER (PARTITION BY label) AS n,
+                 row_number() OVER (PARTITION BY label ORDER BY clip_id) AS r FROM clips)""", "clips")
 view("lc_member", """
     SELECT fit, size, clip_id, label, 'train' AS role
     FROM (SELECT fit, clip_id, label, row_number() OVER (PARTITION BY fit ORDER BY clip_id) AS place

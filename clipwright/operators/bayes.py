@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from clipwright.functions import vectors as V
 from clipwright.operators import moments as M
-from clipwright.operators.sizing import small_side
 from clipwright.session import settle
 
 SMOOTHING = 1e-9
@@ -158,7 +157,7 @@ def predict_by(
     df: DataFrame, models: DataFrame, by: Sequence[str], features: str = "features", proba: bool = True
 ) -> DataFrame:
     """Score each row with the model of its key."""
-    joined = df.join(small_side(models.select(*by, "classes")), list(by))
+    joined = df.join(models.select(*by, "classes"), list(by))
     return _scored(joined, F.col("classes"), features, proba).drop("classes")
 
 
@@ -193,7 +192,7 @@ def score_folds(
     both = models.groupBy(fold).agg(
         F.collect_list(F.struct("candidate", "smoothing", "classes")).alias("_models")
     ).join(scalers.select(fold, "mean", "std"), fold)
-    joined = df.join(small_side(both), fold)
+    joined = df.join(both, fold)
     local = joined.withColumn(features, M.scaled(F.col(features), F.col("mean"), F.col("std"))).drop("mean", "std")
     local = local.select(*[c for c in local.columns if c != "_models"], F.explode("_models").alias("_model"))
     local = local.select("*", "_model.candidate", "_model.smoothing")

@@ -59,13 +59,13 @@ class Fitted:
     def predict(self, df: DataFrame) -> DataFrame:
         """Metadata plus ``pred_label``, ``pred_label_enc`` and ``proba`` where available."""
         out = self.apply(df)
-        return out.withColumn("pred_label_enc", labels.encode(F.col("pred_label"), self.classes))
+        return out.withColumn("pred_label_enc", labels.class_index(F.col("pred_label"), self.classes))
 
 
 def vectorized(df: DataFrame, classes: Sequence[str], features: str = "features", label: str = "label") -> DataFrame:
     """Add MLlib's ``vector`` and ``label_enc`` columns."""
     return df.withColumn("vector", V.to_vector(F.col(features))).withColumn(
-        "label_enc", labels.encode(F.col(label), classes).cast("double")
+        "label_enc", labels.class_index(F.col(label), classes).cast("double")
     )
 
 
@@ -174,7 +174,7 @@ def fit(
 
     ready = (
         prepare(train)
-        .select("vector", labels.encode(F.col(label), classes).cast("double").alias("label_enc"))
+        .select("vector", labels.class_index(F.col(label), classes).cast("double").alias("label_enc"))
         .persist()
     )
     try:
@@ -189,7 +189,7 @@ def fit(
 
     def by_model(df: DataFrame) -> DataFrame:
         out = model.transform(prepare(df))
-        out = out.withColumn("pred_label", labels.decode(F.col("prediction").cast("int"), classes))
+        out = out.withColumn("pred_label", labels.class_at(F.col("prediction").cast("int"), classes))
         if has_proba:
             out = out.withColumn("proba", _scores("probability", classes))
         else:

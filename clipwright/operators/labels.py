@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from clipwright.operators.sizing import small_side
+from clipwright.operators.sizing import ordered_codes
 
 DROP = "drop"
 
@@ -54,7 +54,7 @@ def map_label(code: Column, table: Mapping[str, str]) -> Column:
 def join_labels(df: DataFrame, code: str, table: DataFrame) -> DataFrame:
     """As :func:`map_label` for a code table held as a DataFrame (``code``, ``label``)."""
     renamed = table.select(F.col("code").alias(code), "label")
-    return df.join(small_side(renamed), code, "left").withColumn(
+    return df.join(renamed, code, "left").withColumn(
         "label", F.coalesce("label", F.lit(DROP))
     )
 
@@ -100,16 +100,31 @@ def first_clips(df: DataFrame, limit: int, order: str = "file_path") -> DataFram
 
 # ---- encoding ----------------------------------------------------------------------
 
-def encode(label: Column, classes: Sequence[str]) -> Column:
-    """Index of a class in sorted order; an unknown class is an error."""
+def class_table(df: DataFrame, label: str = "label") -> DataFrame:
+    """(label, code): every class with its index in sorted order."""
+    return ordered_codes(df, label, "code")
+
+
+def encode(df: DataFrame, classes: DataFrame, label: str = "label", into: str = "label_enc") -> DataFrame:
+    """Add the index of each row's class from a :func:`class_table`; an unknown class is an error."""
+    joined = df.join(classes.select(F.col("label").alias(label), F.col("code").alias(into)), label, "left")
+    unseen = F.raise_error(F.concat(F.lit("unseen label: "), F.coalesce(label, F.lit("NULL")))).cast("int")
+    return joined.withColumn(into, F.when(F.col(into).isNull(), unseen).otherwise(F.col(into)))
+
+
+def decode(df: DataFrame, classes: DataFrame, code: str, into: str = "label") -> DataFrame:
+    """Add the class of each row's index; NULL for an index that no class has."""
+    return df.join(classes.select(F.col("code").alias(code), F.col("label").alias(into)), code, "left")
+
+
+def class_index(label: Column, classes: Sequence[str]) -> Column:
+    """Index of a class among names that a model already holds; an unknown class is an error."""
     index = F.array_position(F.array(*[F.lit(c) for c in classes]), label).cast("int") - 1
-    return F.when(
-        label.isNull() | (index < 0),
-        F.raise_error(F.concat(F.lit("unseen label: "), F.coalesce(label, F.lit("NULL")))).cast("int"),
-    ).otherwise(index)
+    unseen = F.raise_error(F.concat(F.lit("unseen label: "), F.coalesce(label, F.lit("NULL")))).cast("int")
+    return F.when(label.isNull() | (index < 0), unseen).otherwise(index)
 
 
-def decode(index: Column, classes: Sequence[str]) -> Column:
+def class_at(index: Column, classes: Sequence[str]) -> Column:
     return F.get(F.array(*[F.lit(c) for c in classes]), index)
 
 

@@ -15,6 +15,7 @@ from clipwright.operators import ranking
 from clipwright.session import settle
 
 GRID_STEPS = 100
+X_BUCKETS = 1024         # equal parts of the x axis in which curves are interpolated
 
 
 def one_vs_rest(df: DataFrame, keys: Sequence[str], truth: str, scores: Column) -> DataFrame:
@@ -41,15 +42,9 @@ def score_counts(long: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     Buckets ascend with *descending* score, the direction in which a ROC curve is walked.
     """
-    flipped = long.withColumn("_down", -F.col("score"))
-    bucketed = ranking.value_buckets(flipped, "_down").withColumn("_bucket", F.coalesce("_bucket", F.lit(-1.0)))
-    return (
-        bucketed.groupBy(*keys, "class", "score", "_down", "_bucket")
-        .agg(
-            F.count_if("hit").alias("pos"),
-            F.count_if(~F.col("hit")).alias("neg"),
-        )
-    )
+    cells = long.groupBy(*keys, "class", "score").agg(F.count_if("hit").alias("pos"), F.count_if(~F.col("hit")).alias("neg"))
+    # everything below reads the distinct scores, never the rows again
+    return ranking.value_buckets(settle(cells.withColumn("_down", -F.col("score"))), "_down")
 
 
 def _walked(long: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -61,7 +56,7 @@ def _walk(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
     group = [*keys, "class"]
     walked = ranking.running_sums(cells, group, [F.col("_down")], {"tps": F.col("pos"), "fps": F.col("neg")})
     totals = cells.groupBy(*group).agg(F.sum("pos").alias("p"), F.sum("neg").alias("m"))
-    return walked.join(totals, group)
+    return ranking.meet(walked, totals, group)
 
 
 def roc_points(long: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -117,7 +112,7 @@ def fpr_grid(points: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return points.where(F.col("fpr").isNotNull()).select(*keys, "fpr").distinct()
 
 
-def interpolate(curves: DataFrame, wanted: DataFrame, group: Sequence[str], buckets: int = ranking.VALUE_BUCKETS) -> DataFrame:
+def interpolate(curves: DataFrame, wanted: DataFrame, group: Sequence[str], buckets: int = X_BUCKETS) -> DataFrame:
     """Linear interpolation of step curves (group..., x, lo, hi) at the points (group..., x) wanted.
 
     At a vertical run the highest value holds.  Curve rows and wanted rows meet in one ordered
@@ -137,7 +132,7 @@ def interpolate(curves: DataFrame, wanted: DataFrame, group: Sequence[str], buck
     )
     edge = Window.partitionBy(*group).orderBy("_bucket")
     back = Window.partitionBy(*group).orderBy(F.desc("_bucket"))
-    frame = merged.select(*group, "_bucket").distinct().join(ends, [*group, "_bucket"], "left")
+    frame = ranking.meet(merged.select(*group, "_bucket").distinct(), ends, [*group, "_bucket"], "left")
     carried = frame.select(
         *group,
         "_bucket",
@@ -149,11 +144,11 @@ def interpolate(curves: DataFrame, wanted: DataFrame, group: Sequence[str], buck
     up = Window.partitionBy(*group, "_bucket").orderBy("x", "wanted")
     down = Window.partitionBy(*group, "_bucket").orderBy(F.desc("x"), F.desc("wanted"))
     so_far = (Window.unboundedPreceding, 0)
-    spread = merged.withColumns({
+    walked = merged.withColumns({
         "_here": F.last("node", ignorenulls=True).over(up.rowsBetween(*so_far)),
         "_there": F.last("node", ignorenulls=True).over(down.rowsBetween(*so_far)),
     })
-    found = spread.where("wanted").join(carried, [*group, "_bucket"]).select(
+    found = ranking.meet(walked.where("wanted"), carried, [*group, "_bucket"]).select(
         *group, "x", F.coalesce("_here", "_before").alias("a"), F.coalesce("_there", "_after").alias("b")
     )
     a, b, x = F.col("a"), F.col("b"), F.col("x")
@@ -173,7 +168,7 @@ def macro_curve(points: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     known = steps.groupBy(*keys).agg(F.collect_set("class").alias("_classes")) if keys else None
     grid = fpr_grid(nodes, keys).withColumnRenamed("fpr", "x")
     if keys:
-        wanted = grid.join(known, keys)
+        wanted = ranking.meet(grid, known, keys)
     else:
         wanted = grid.withColumn("_classes", steps.agg(F.collect_set("class")).scalar())
     wanted = wanted.select(*keys, "x", F.explode("_classes").alias("class"))
@@ -205,7 +200,7 @@ def average_curves(curves: DataFrame, keys: Sequence[str], fold: str, steps: int
     )
     edge = Window.partitionBy(*group).orderBy("_cell")
     back = Window.partitionBy(*group).orderBy(F.desc("_cell"))
-    laid = grid.join(packed, [*group, "_cell"], "left").withColumn("x", F.col("_cell") / F.lit(float(steps)))
+    laid = ranking.meet(grid, packed, [*group, "_cell"], "left").withColumn("x", F.col("_cell") / F.lit(float(steps)))
     laid = laid.withColumns({
         "_before": F.last("_last", ignorenulls=True).over(edge.rowsBetween(Window.unboundedPreceding, -1)),
         "_after": F.last("_first", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1)),

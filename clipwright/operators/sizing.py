@@ -1,29 +1,28 @@
-"""Size checks that decide whether a side may be broadcast."""
+"""Class and group names: numbered without a driver or single-task pass, collected only where columns are named."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-SMALL_ROWS = 10_000
-SMALL_BYTES = 32 * 1024 * 1024
-MAX_CLASSES = 10_000
+from clipwright.session import settle
 
 
-def small_side(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES) -> DataFrame:
-    """A broadcast version of ``df`` if it is proven small, else ``df`` itself.
+def ordered_codes(df: DataFrame, column: str, name: str) -> DataFrame:
+    """(column, name): every distinct non-null value with its place, from 0, in sort order.
 
-    At most ``max_rows + 1`` rows are looked at.  Beyond the bound the caller's join
-    shuffles, and adaptive execution splits its skewed partitions.
+    Values are sorted over all tasks; a window runs only over one count per task.
     """
-    head = df.limit(max_rows + 1).toArrow()
-    if head.num_rows <= max_rows and head.nbytes <= max_bytes:
-        return F.broadcast(df.sparkSession.createDataFrame(head, df.schema))
-    return df
-
-
-def class_names(df: DataFrame, column: str = "label", max_classes: int = MAX_CLASSES) -> list[str]:
-    """The distinct non-null classes in string order; an unbounded column is refused."""
-    rows = df.select(column).where(F.col(column).isNotNull()).distinct().limit(max_classes + 1).collect()
-    if len(rows) > max_classes:
-        raise ValueError(f"{column} has more than {max_classes} distinct values: not a class column")
+    values = df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column)
+    # the id holds the task in its upper bits and the place within it below
+    placed = settle(values.withColumn("_id", F.monotonically_increasing_id()))
+    placed = placed.withColumn("_task", F.shiftright("_id", 33)).withColumn("_at", F.col("_id").bitwiseAND((1 << 33) - 1))
+    before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = placed.groupBy("_task").agg(F.count("*").alias("_n")).select(
+        "_task", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return placed.join(tasks, "_task").select(column, (F.col("_before") + F.col("_at")).cast("int").alias(name))
+
+
+def class_names(df: DataFrame, column: str = "label") -> list[str]:
+    """The distinct non-null classes in string order, for results that have a column or a model per class."""
+    rows = df.select(column).where(F.col(column).isNotNull()).distinct().collect()
     return sorted(r[0] for r in rows)

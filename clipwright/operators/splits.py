@@ -5,15 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from clipwright.operators import ranking
-from clipwright.operators.sizing import small_side
+from clipwright.operators.sizing import ordered_codes
 
 
-def stratified_quotas(df: DataFrame, test_size: float = 0.2, label: str = "label") -> DataFrame:
-    """Train rows per class: floor of the exact share, then largest remainders.
+def stratified_quotas(counts: DataFrame, test_size: float = 0.2, label: str = "label") -> DataFrame:
+    """Train rows per class of a table (label, n): floor of the exact share, then largest remainders.
 
-    One row per class; the remainder ranking runs on that table only.
+    One row per class; the remainder ranking runs on that table only.  A null label is a class.
     """
-    counts = df.groupBy(label).agg(F.count("*").alias("n"))
     everything = Window.partitionBy()
     sizes = counts.withColumn("total", F.sum("n").over(everything)).withColumn(
         "n_train", F.col("total") - F.ceil(F.col("total") * F.lit(test_size)).cast("long")
@@ -37,14 +36,15 @@ def stratified_split(
 
     The rows themselves are not shuffled: each is compared with its class's cut-off key.
     """
-    keys = ranking.with_draw(df.select(id_column, label), id_column, seed)
-    quotas = stratified_quotas(df, test_size, label).select(label, "quota")
-    cuts = ranking.quota_cutoffs(keys, [label], id_column, quotas)
+    drawn = ranking.with_draw(df.select(id_column, label), id_column, seed)
+    counts = ranking.bucket_counts(drawn, [label])
+    quotas = stratified_quotas(counts.groupBy(label).agg(F.sum("_n").alias("n")), test_size, label)
+    cuts = ranking.quota_cutoffs(drawn, counts, [label], id_column, quotas.select(label, F.lit(0).alias("part"), "quota"))
     inside = F.struct(ranking.draw_key(id_column, seed).alias("d"), F.col(id_column).alias("i")) <= F.struct(
         F.col("_cut_draw").alias("d"), F.col("_cut_id").alias("i")
     )
     return (
-        df.join(small_side(cuts), label, "left")
+        ranking.meet(df, cuts.drop("part"), [label], "left")
         .withColumn("role", F.when(inside, "train").otherwise("test"))
         .drop("_cut_draw", "_cut_id")
     )
@@ -52,13 +52,12 @@ def stratified_split(
 
 def fold_index(df: DataFrame, subject: str = "subject") -> DataFrame:
     """One row per group with its fold number in string order (Session10 before Session2)."""
-    groups = df.select(subject).distinct()
-    return groups.select(subject, (F.row_number().over(Window.orderBy(subject)) - 1).alias("fold"))
+    return ordered_codes(df, subject, "fold")
 
 
 def with_fold(df: DataFrame, subject: str = "subject") -> DataFrame:
     """Add the fold in which the row's group is the test set."""
-    return df.join(small_side(fold_index(df, subject)), subject)
+    return df.join(fold_index(df, subject), subject)
 
 
 def leave_one_group_out(df: DataFrame, subject: str = "subject") -> DataFrame:
@@ -80,12 +79,19 @@ def leave_one_group_out(df: DataFrame, subject: str = "subject") -> DataFrame:
 def stratified_folds(
     df: DataFrame, id_column: str, k: int = 5, seed: int | None = 42, label: str = "label"
 ) -> DataFrame:
-    """Add ``fold`` (0..k-1) with per-class balance; ``seed=None`` deals rows in id order."""
-    if seed is None:
-        keyed = ranking.value_buckets(df, id_column)
-        order = [F.col(id_column)]
-    else:
-        keyed = ranking.with_draw(df, id_column, seed)
-        order = [F.col("_draw"), F.col(id_column)]
-    ranked = ranking.group_rank(keyed, [label], order, "_place")
-    return ranked.withColumn("fold", ((F.col("_place") - 1) % k).cast("int")).drop("_place", "_bucket", "_draw")
+    """Add ``fold`` (0..k-1) with per-class balance: ``k`` even segments of each class's order.
+
+    ``seed=None`` takes rows in id order.  Rows are not shuffled: each is compared with its class's cut-off keys.
+    """
+    drawn = ranking.with_draw(df.select(id_column, label), id_column, seed)
+    counts = ranking.bucket_counts(drawn, [label])
+    quotas = counts.groupBy(label).agg(F.sum("_n").alias("n")).select(
+        label, F.explode(F.sequence(F.lit(1), F.lit(k - 1))).alias("part"), "n").withColumn("quota", F.expr(f"n * part div {k}"))
+    cuts = ranking.quota_cutoffs(drawn, counts, [label], id_column, quotas.select(label, "part", "quota"))
+    key = lambda d, i: F.struct(d.alias("d"), i.alias("i"))
+    packed = ranking.meet(quotas.select(label, "part", "quota"), cuts, [label, "part"], "left").groupBy(label).agg(
+        F.collect_list(F.when(F.col("quota") > 0, key(F.col("_cut_draw"), F.col("_cut_id")))).alias("_cuts"),
+        F.count_if(F.col("quota") == 0).cast("int").alias("_passed"))
+    here = key(ranking.draw_key(id_column, seed), F.col(id_column))
+    fold = F.col("_passed") + F.size(F.filter("_cuts", lambda c: here > c))
+    return ranking.meet(df, packed, [label], "left").withColumn("fold", fold.cast("int")).drop("_cuts", "_passed")

@@ -9,7 +9,6 @@ from clipwright.functions import spectra as S
 from clipwright.operators import (
     bayes, components, labels, moments as M, neighbours, ranking, roc, signals, splits,
 )
-from clipwright.operators.sizing import class_names, small_side
 from clipwright.sources import readers, sinks
 
 
@@ -35,7 +34,8 @@ def test_split_quotas_and_determinism(spark):
     first = {r["id"]: r["role"] for r in splits.stratified_split(df, "id").collect()}
     again = {r["id"]: r["role"] for r in splits.stratified_split(df.repartition(5), "id").collect()}
     assert first == again and len(first) == 3000
-    quotas = {r["label"]: r["quota"] for r in splits.stratified_quotas(df).collect()}
+    quotas = {r["label"]: r["quota"] for r in splits.stratified_quotas(
+        df.groupBy("label").agg(F.count("*").alias("n"))).collect()}
     train = splits.stratified_split(df, "id").where("role = 'train'").groupBy("label").count()
     assert {r["label"]: r["count"] for r in train.collect()} == quotas
     assert sum(quotas.values()) == 2400
@@ -65,12 +65,31 @@ def test_fold_order_is_lexicographic(spark):
         labels.require_subjects(df.where("false"))
 
 
-def test_size_checks(spark):
-    df = spark.range(100)
-    assert small_side(df, 100).count() == 100
-    assert small_side(df, 99) is df
-    with pytest.raises(ValueError):
-        class_names(df.withColumn("label", F.col("id").cast("string")), max_classes=50)
+def test_many_classes_are_numbered_in_order(spark):
+    names = [f"k{(i * 7919) % 20011:05d}" for i in range(12_000)]
+    df = spark.createDataFrame([(n,) for n in names], "label string").repartition(7)
+    table = labels.class_table(df)
+    coded = labels.encode(df, table)
+    assert {r["label"]: r["label_enc"] for r in coded.collect()} == {n: i for i, n in enumerate(sorted(set(names)))}
+    back = labels.decode(coded, table, "label_enc", "again")
+    assert back.where("label <=> again").count() == 12_000
+
+
+def test_null_labels_are_a_class_in_split_and_folds(spark):
+    df = spark.createDataFrame([(i, None if i % 2 else "a") for i in range(100)], "id long, label string")
+    split = splits.stratified_split(df, "id").groupBy("label", "role").count().collect()
+    assert {(r["label"], r["role"]): r["count"] for r in split} == {
+        (None, "train"): 40, (None, "test"): 10, ("a", "train"): 40, ("a", "test"): 10}
+    folds = splits.stratified_folds(df, "id", 5).groupBy("label", "fold").count().collect()
+    assert len(folds) == 10 and {r["count"] for r in folds} == {10}
+
+
+def test_string_ids_order_folds_and_few_rows_leave_folds_empty(spark):
+    df = skewed(spark, 2000).select(F.format_string("clip-%05d", "id").alias("id"), F.lit("a").alias("label"))
+    got = {r["id"]: r["fold"] for r in splits.stratified_folds(df, "id", 4, None).collect()}
+    assert got == {f"clip-{i:05d}": i // 500 for i in range(2000)}
+    few = spark.createDataFrame([(1, "a"), (2, "a")], "id long, label string")
+    assert sorted(r["fold"] for r in splits.stratified_folds(few, "id", 5, None).collect()) == [2, 4]
 
 
 # ---- labels ------------------------------------------------------------------------
@@ -79,7 +98,7 @@ def test_paths_and_encoding(spark):
     rows = [("a/1_2_ANG_XX.wav",), ("a/1_2.wav",)]
     out = [r[0] for r in spark.createDataFrame(rows, "p string").select(labels.code_from_path(F.col("p"))).collect()]
     assert out == ["ANG", None]
-    coded = spark.createDataFrame([("a",), ("c",)], "label string").select(labels.encode(F.col("label"), ["a", "b"]))
+    coded = spark.createDataFrame([("a",), ("c",)], "label string").select(labels.class_index(F.col("label"), ["a", "b"]))
     with pytest.raises(Exception, match="unseen label"):
         coded.collect()
     dropped = labels.keep_labelled(spark.createDataFrame([("a",), ("drop",), (None,)], "label string"))
