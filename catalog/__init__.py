@@ -6,6 +6,7 @@ from catalog import (  # noqa: F401  (importing registers)
     q_join_split,
     q_metrics,
     q_models,
+    q_protocols,
     q_roc,
     q_signal,
 )

@@ -42,12 +42,6 @@ def metadata_scan(spark, d):
     return R.metadata(spark, path)
 
 
-@query("clip_listing")
-def clip_listing(spark, d):
-    files = R.clip_listing(spark, d, "*.parquet")
-    return files.withColumn("total", files.agg(F.count("*")).scalar()).orderBy("path")
-
-
 @query("feature_scan", """
     SELECT file_path, label, dataset, 'f' || feature AS name, round(x, 6) + 0.0 AS value
     FROM feat JOIN clips USING (clip_id, label)""", "feat", "clips")

@@ -8,9 +8,10 @@ from catalog import views as T
 from catalog.q_join_split import KNN_SQL
 from catalog.registry import query, view
 from clipwright.functions import vectors as V
-from clipwright.operators import bayes, classifiers, components, metrics, moments as M, neighbours, tuning
+from clipwright.operators import bayes, classifiers, components, metrics, moments as M, neighbours, splits, tuning
 from clipwright.operators import labels as L
 from clipwright.operators.sizing import class_names
+from clipwright.session import settle
 
 # ---- naive Bayes in SQL ------------------------------------------------------------
 
@@ -202,8 +203,8 @@ def knn_predict(spark, d):
 # ---- MLlib families ----------------------------------------------------------------
 
 def _family(name, spark, d):
-    rows = T.scaled(spark, d).persist()
-    fitted = classifiers.fit(name, rows.where("role = 'train'"), class_names(rows))
+    rows = settle(T.scaled(spark, d))
+    fitted = classifiers.fit(name, rows.where("role = 'train'"), class_names(rows), tasks=T.fit_tasks(spark))
     return fitted.predict(rows.where("role = 'test'")).select(
         "clip_id", "file_path", "dataset", "label", "pred_label", "pred_label_enc"
     )
@@ -293,25 +294,24 @@ def best_candidate(spark, d):
 
 
 def _search(spark, d):
-    """The whole grid of the tree family over the training folds."""
-    rows = T.folded(spark, d)
+    """The whole grid of the tree family over folds of the training split; the test split stays out."""
+    rows = settle(T.scaled(spark, d))
+    train = splits.stratified_folds(rows.where("role = 'train'"), "clip_id")
     points = tuning.grid_points(tuning.GRIDS["dtr"])
-    scaled = M.apply_scaler(rows, M.fit_scaler(rows))
-    classes = class_names(rows)
-    return scaled, classes, tuning.cross_validate("dtr", scaled, points, classes)
+    return rows, tuning.cross_validate("dtr", train, points, class_names(train), tasks=T.fit_tasks(spark))
 
 
 @query("cv_tuning")
 def cv_tuning(spark, d):
-    _, _, found = _search(spark, d)
+    _, found = _search(spark, d)
     return tuning.score_table(spark, "dtr", found).select("model", "candidate", *T.r6("mean_score", "std_score"))
 
 
 @query("refit_best")
 def refit_best(spark, d):
-    scaled, classes, found = _search(spark, d)
-    out = found.bestModel.transform(classifiers.vectorized(scaled, classes))
-    return out.select("clip_id", "label", L.class_at(F.col("prediction").cast("int"), classes).alias("pred_label"))
+    """Test rows scored by the best candidate, refitted on the whole training split."""
+    rows, found = _search(spark, d)
+    return found.model.predict(rows.where("role = 'test'")).select("clip_id", "label", "pred_label")
 
 
 view("lc_fold", """

@@ -115,7 +115,7 @@ WINDOWED = "SELECT clip_id, CAST(win AS INTEGER) AS win, round(value, 6) + 0.0 A
 
 
 def _windows(spark, d):
-    return signals.with_windows(T.spread(T.clips(spark, d).select("clip_id", "samples")), G)
+    return signals.with_windows(T.dealt(T.clips(spark, d).select("clip_id", "samples")), G)
 
 
 def _spectra(spark, d):
@@ -293,7 +293,7 @@ view("whole_stats", """
     + " FROM clips JOIN whole_stats USING (clip_id) GROUP BY clip_id, label, file_path, dataset", "clips", "whole_stats")
 def clip_features(spark, d):
     """The whole chain from samples: normalise, trim, frame, features, statistics; one wide row per clip."""
-    out = signals.clip_features(T.spread(T.clips(spark, d)), G)
+    out = signals.clip_features(T.dealt(T.clips(spark, d)), G)
     return out.select("clip_id", "label", "file_path", "dataset", *[
         V.rounded(F.get("features", F.lit(i))).alias(n) for i, n in enumerate(S.CLIP_FEATURE_NAMES)
     ])

@@ -24,10 +24,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """One partition per core for a table that is a single small file; a large table stays as it is."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+def dealt(rows: DataFrame) -> DataFrame:
+    """Rows dealt over ``spark.clipwright.partitions`` tasks if the session sets it: for tables of one small file."""
+    tasks = rows.sparkSession.conf.get("spark.clipwright.partitions", None)
+    return rows.repartition(int(tasks)) if tasks else rows
+
+
+def fit_tasks(spark: SparkSession) -> int | None:
+    """``spark.clipwright.fit.tasks``: tasks for iterative fits on small tables; unset, rows stay as they are."""
+    tasks = spark.conf.get("spark.clipwright.fit.tasks", None)
+    return int(tasks) if tasks else None
 
 
 def clips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,7 +119,7 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         for m, s in SHARPNESS.items() for w, h in SHIFTS.items()
     ]
     ranked = [F.struct(F.lit(t).alias("class"), F.lit(float(i)).alias("place")) for i, t in enumerate(TYPES)]
-    rows = spread(events(spark, sf_dir)).select("*", F.explode(F.array(*kinds)).alias("k")).select(
+    rows = dealt(events(spark, sf_dir)).select("*", F.explode(F.array(*kinds)).alias("k")).select(
         "*", F.explode(F.array(*ranked)).alias("c")
     )
     raw = 1.0 / (1.0 + F.abs(F.col("value") / F.col("k.sharp") - F.col("c.place") - F.col("k.shift")))

@@ -8,7 +8,6 @@ struct(label, proba) in encoder order.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -23,7 +22,7 @@ from pyspark.ml.classification import (
     OneVsRest,
     RandomForestClassifier,
 )
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from clipwright.functions import vectors as V
@@ -42,7 +41,6 @@ SETTINGS: dict[str, dict[str, object]] = {
     "nb": {"var_smoothing": 1e-9},
 }
 FOURIER_FEATURES = 256
-ROWS_PER_TASK = 5000
 
 
 @dataclass
@@ -123,6 +121,13 @@ def fourier_features(width: int, gamma: float, seed: int, size: int = FOURIER_FE
     return expand
 
 
+def kernel_space(df: DataFrame, gamma: str, seed: int, features: str = "features") -> DataFrame:
+    """The rows with their features expanded for one kernel width."""
+    width = len(df.select(features).first()[0])
+    expand = fourier_features(width, kernel_width(df, gamma, features), seed)
+    return V.fenced(df, features, F.col(features)).withColumn(features, expand(F.col(features)))
+
+
 def _scores(vector: str, classes: Sequence[str]) -> Column:
     table = F.array(*[F.lit(c) for c in classes])
     return F.zip_with(
@@ -130,11 +135,55 @@ def _scores(vector: str, classes: Sequence[str]) -> Column:
     )
 
 
+def _binary_shares(model, classes: Sequence[str], calibration: Sequence[tuple[float, float]] | None):
+    """Apply the one-vs-rest models one by one; each class's share of their probabilities.
+
+    Models without probabilities need ``calibration``: slope and intercept of the log-odds per class.
+    """
+    def apply(df: DataFrame) -> DataFrame:
+        kept, shares = df.columns, []
+        for i, binary in enumerate(model.models):
+            one = binary.copy()
+            one.setRawPredictionCol(f"_raw{i}").setPredictionCol(f"_guess{i}")
+            if calibration is None:
+                one.setProbabilityCol(f"_share{i}")
+            df = one.transform(df)
+            margin = F.get(vector_to_array(f"_raw{i}"), F.lit(1))
+            if calibration is None:
+                shares.append(F.get(vector_to_array(f"_share{i}"), F.lit(1)))
+            else:
+                slope, intercept = calibration[i]
+                shares.append(1.0 / (1.0 + F.exp(-(slope * margin + intercept))))
+        total = sum(shares[1:], shares[0])
+        pairs = [F.struct(F.lit(c).alias("label"), (p / total).alias("proba")) for c, p in zip(classes, shares)]
+        return df.select(*kept, F.array(*pairs).alias("proba"))
+
+    return apply
+
+
+def _calibrate(model, ready: DataFrame) -> list[tuple[float, float]]:
+    """Slope and intercept per class: a logistic curve from margin to membership on the training rows (Platt 1999)."""
+    out = []
+    for i, binary in enumerate(model.models):
+        scored = binary.transform(ready.select("vector", "label_enc")).select(
+            array_to_vector(F.array(F.get(vector_to_array("rawPrediction"), F.lit(1)))).alias("margin"),
+            (F.col("label_enc") == i).cast("double").alias("hit"))
+        curve = LogisticRegression(featuresCol="margin", labelCol="hit", regParam=1e-6, standardization=False).fit(scored)
+        out.append((float(curve.coefficients[0]), float(curve.intercept)))
+    return out
+
+
 def fit(
     name: str, train: DataFrame, classes: Sequence[str], settings: Mapping[str, object] | None = None,
     seed: int = 42, id_column: str = "clip_id", features: str = "features", label: str = "label",
+    tasks: int | None = None,
 ) -> Fitted:
-    """Fit one family on training rows that are already scaled."""
+    """Fit one family on training rows that are already scaled.
+
+    ``tasks`` bounds the tasks of families that run a short job per round or step, for small tables on few
+    cores; left out, the rows stay partitioned as they are.  The kernel family has probabilities if its settings
+    say ``probability``, as they take a calibration per class.
+    """
     chosen = {**SETTINGS[name], **(settings or {})}
     classes = list(classes)
 
@@ -179,15 +228,20 @@ def fit(
     )
     try:
         rows = ready.count()
-        # these families run a short job per round or step: tasks with few rows are all overhead
-        tasks = math.ceil(rows / ROWS_PER_TASK)
-        held = ready.coalesce(max(1, tasks)) if name in ("xgb", "svm", "logistic") else ready
+        held = ready.coalesce(tasks) if tasks and name in ("xgb", "svm", "logistic") else ready
         model = estimator(name, chosen, rows, seed).fit(held)
+        has_proba = name != "svm" or bool(chosen.get("probability"))
+        calibration = _calibrate(model, held) if name == "svm" and has_proba else None
     finally:
         ready.unpersist()
-    has_proba = name not in ("svm", "xgb")
+    one_by_one = _binary_shares(model, classes, calibration) if name in ("xgb", "svm") and has_proba else None
 
     def by_model(df: DataFrame) -> DataFrame:
+        if one_by_one:
+            # the class whose binary model is surest, the first one if several are
+            best = F.array_position(F.transform("proba", lambda p: p["proba"]), F.array_max(F.transform("proba", lambda p: p["proba"])))
+            return one_by_one(prepare(df)).withColumn(
+                "pred_label", labels.class_at(best.cast("int") - 1, classes)).drop("vector")
         out = model.transform(prepare(df))
         out = out.withColumn("pred_label", labels.class_at(F.col("prediction").cast("int"), classes))
         if has_proba:

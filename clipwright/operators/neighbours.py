@@ -10,14 +10,16 @@ one vectorised distance computation that keeps k rows per query, and a top-k mer
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from clipwright.functions import vectors as V
+from clipwright.session import settle
 
-PIVOTS = 16
+LEAST_PIVOTS = 16
 BLOCK_ROWS = 4096
 QUERY_SLICE = 256
 SLACK = 1e-9          # relative room for rounding in bounds
@@ -58,10 +60,18 @@ def nearest(
     id_column: str = "clip_id",
     features: str = "features",
     carry: str = "label",
-    pivots: int = PIVOTS,
+    pivots: int | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Rows (query_id, reference_id, ``carry`` of the reference row, distance, rank), rank 1..k."""
+    """Rows (query_id, reference_id, ``carry`` of the reference row, distance, rank), rank 1..k.
+
+    Both inputs are written once, as several steps read them.  Pivots grow with the root of the reference rows
+    unless given.
+    """
+    reference = settle(reference.select(id_column, carry, features))
+    queries = settle(queries.select(id_column, features))
+    if pivots is None:
+        pivots = max(LEAST_PIVOTS, math.isqrt(reference.count()) // 8)
     head = (
         reference.select(id_column, features)
         .orderBy(F.md5(F.col(id_column).cast("string")), id_column)
@@ -117,19 +127,20 @@ def nearest(
 
     query_blocks = max(1, math.ceil(queries.count() / block_rows))
     sizes = F.array(*[F.lit(int(b)) for b in blocks])
-    asked = (
+    asked = settle(
         V.fenced(queries, features, F.col(features)).select(
             F.col(id_column).alias("query_id"), F.col(features).alias("point"),
             F.explode(route(F.col(features))).alias("cell"),
         )
-        .withColumn("slot", F.explode(F.sequence(F.lit(0), F.get(sizes, F.col("cell")) - 1)))
         .withColumn("turn", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int"))
     )
+    # a reference cell is offered only to the query blocks that asked for it
+    tiles = asked.select(F.col("cell").alias("cell"), F.col("turn").alias("turn")).distinct()
+    asked = asked.withColumn("slot", F.explode(F.sequence(F.lit(0), F.get(sizes, F.col("cell")) - 1)))
     offered = placed.select(
         "reference_id", "carried", "point", "cell",
         F.pmod(F.xxhash64("reference_id"), F.get(sizes, F.col("cell"))).cast("int").alias("slot"),
-        F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("turn"),
-    )
+    ).join(tiles, "cell")
     id_type = reference.schema[id_column].dataType.simpleString()
     query_type = queries.schema[id_column].dataType.simpleString()
     carry_type = reference.schema[carry].dataType.simpleString()
@@ -161,28 +172,29 @@ def nearest(
     )
 
 
-def vote(neighbours: DataFrame, weights: str = "distance", label: str = "label") -> DataFrame:
-    """Rows (query_id, label, share): posterior by uniform or inverse-distance votes.
+def vote(neighbours: DataFrame, weights: str = "distance", label: str = "label", by: Sequence[str] = ()) -> DataFrame:
+    """Rows (by..., query_id, label, share): posterior by uniform or inverse-distance votes.
 
     Exact matches take all the weight.  Each query has at most k rows here.
     """
+    keys = [*by, "query_id"]
     if weights == "distance":
-        exact = F.max((F.col("distance") == 0).cast("int")).over(Window.partitionBy("query_id"))
+        exact = F.max((F.col("distance") == 0).cast("int")).over(Window.partitionBy(*keys))
         weight = F.when(F.col("exact") == 1, (F.col("distance") == 0).cast("double")).otherwise(
             F.try_divide(F.lit(1.0), F.col("distance"))
         )
         weighed = neighbours.withColumn("exact", exact).withColumn("w", weight)
     else:
         weighed = neighbours.withColumn("w", F.lit(1.0))
-    sums = weighed.groupBy("query_id", label).agg(F.sum("w").alias("w"))
-    return sums.select("query_id", label, (F.col("w") / F.sum("w").over(Window.partitionBy("query_id"))).alias("share"))
+    sums = weighed.groupBy(*keys, label).agg(F.sum("w").alias("w"))
+    return sums.select(*keys, label, (F.col("w") / F.sum("w").over(Window.partitionBy(*keys))).alias("share"))
 
 
-def elect(shares: DataFrame, label: str = "label") -> DataFrame:
+def elect(shares: DataFrame, label: str = "label", by: Sequence[str] = ()) -> DataFrame:
     """Predicted label per query; a tie goes to the first class in order."""
-    place = Window.partitionBy("query_id").orderBy(F.desc(F.round("share", 12)), label)
+    place = Window.partitionBy(*by, "query_id").orderBy(F.desc(F.round("share", 12)), label)
     return shares.withColumn("_p", F.row_number().over(place)).where("_p = 1").select(
-        "query_id", F.col(label).alias("pred_label"), F.col("share").alias("pred_share")
+        *by, "query_id", F.col(label).alias("pred_label"), F.col("share").alias("pred_share")
     )
 
 

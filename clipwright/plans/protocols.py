@@ -23,10 +23,14 @@ SUBMITTERS = 4
 
 @dataclass
 class Outcome:
-    """What a protocol produced; ``space`` maps raw rows into the space the models were fitted in."""
+    """What a protocol produced; ``space`` maps raw rows into the space the models were fitted in.
+
+    ``fits`` goes by model name, or by (fold, model name) where each fold has its own; then ``scaler`` has a row
+    per fold.
+    """
 
     classes: list[str]
-    fits: dict[str, classifiers.Fitted]
+    fits: dict
     predictions: dict[str, DataFrame]
     reports: DataFrame
     areas: DataFrame
@@ -36,6 +40,8 @@ class Outcome:
 
     def space(self, raw: DataFrame, already_scaled: bool = False) -> DataFrame:
         """Scale once, with the training parameters, then project if the models want components."""
+        if isinstance(next(iter(self.fits), None), tuple) and not already_scaled:
+            raise ValueError("every fold has a space of its own: use fold_space")
         if self.projection is not None:
             return components.transform(raw, self.projection)
         if already_scaled or self.scaler is None:
@@ -43,6 +49,11 @@ class Outcome:
         return M.apply_scaler(raw, self.scaler)
 
 
+    def fold_space(self, fold: int, raw: DataFrame) -> DataFrame:
+        """Scale with the parameters of one fold's training rows."""
+        return M.apply_scaler(raw, self.scaler.where(F.col("fold") == fold).select("n", "mean", "std"))
+
+
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
     out = parts[0]
     for part in parts[1:]:
@@ -103,37 +114,45 @@ def hold_out(
 
 def leave_group_out(
     table: DataFrame, models: Sequence[str] = classifiers.MODEL_NAMES, settings: dict | None = None,
-    seed: int = 42, id_column: str = "clip_id", min_rows: int = 500,
+    seed: int = 42, id_column: str = "clip_id", min_rows: int = 500, tasks: int | None = None,
 ) -> Outcome:
     """Leave-one-group-out: per fold, scale and fit on all other groups, score the group.
 
-    Rows are never multiplied: a fold's training set is a filter over one written table.
+    Rows are never multiplied: a fold's training set is a filter over one written table.  The
+    scalers of all folds come from one pass.  Models and scalers of every fold are kept.
     """
     grouped = settle(splits.with_fold(with_subject(table)))
     folds = [r[0] for r in grouped.select("fold").distinct().orderBy("fold").collect()]
     if not folds:
         raise ContractError("no group could be derived from any path")
-    classes = class_names(grouped)
-
-    def one(job):
-        fold, name = job
+    centre = settle(M.centre_of(grouped))
+    outside = M.leave_one_out(M.moment_sums(grouped, ["fold", "label"], centre), "fold", "label")
+    scalers = settle(M.fold_scalers(outside, "fold", centre))
+    outcome = Outcome([], {}, {}, None, None, scalers)
+    known = {}
+    for fold in folds:
         train = grouped.where(F.col("fold") != fold)
         if fold == folds[0]:
             require_rows(train, min_rows)
-        scaler = M.fit_scaler(train)
-        ready, held = M.apply_scaler(train, scaler), M.apply_scaler(grouped.where(F.col("fold") == fold), scaler)
-        fitted = classifiers.fit(name, ready, classes, (settings or {}).get(name), seed, id_column)
-        return name, settle(fitted.predict(held))
+        known[fold] = class_names(train)          # a class that only the held-out group has is not known
+
+    def one(job):
+        fold, name = job
+        ready = outcome.fold_space(fold, grouped.where(F.col("fold") != fold))
+        held = outcome.fold_space(fold, grouped.where(F.col("fold") == fold))
+        fitted = classifiers.fit(name, ready, known[fold], (settings or {}).get(name), seed, id_column, tasks=tasks)
+        return fold, name, fitted, settle(fitted.predict(held))
 
     with ThreadPool(SUBMITTERS) as pool:
         done = pool.map(one, [(f, n) for f in folds for n in models], chunksize=1)
-    predictions = {n: _union([p for name, p in done if name == n]) for n in models}
-    reports = _union([_reports(n, p, ["fold"]) for n, p in predictions.items()])
-    per_fold = _union([_areas(n, p, ["fold"]) for n, p in predictions.items()])
-    return Outcome(
-        classes, {}, predictions, reports, roc.fold_nanmean(per_fold, ["model"], "auc"),
-        options={"fold_areas": per_fold},
-    )
+    outcome.classes = sorted(set().union(*known.values()))
+    outcome.fits = {(f, n): fitted for f, n, fitted, _ in done}
+    outcome.predictions = {n: _union([p for _, name, _, p in done if name == n]) for n in models}
+    outcome.reports = _union([_reports(n, p, ["fold"]) for n, p in outcome.predictions.items()])
+    per_fold = _union([_areas(n, p, ["fold"]) for n, p in outcome.predictions.items()])
+    outcome.areas = roc.fold_nanmean(per_fold, ["model"], "auc")
+    outcome.options["fold_areas"] = per_fold
+    return outcome
 
 
 def fold_summary(outcome: Outcome) -> DataFrame:
@@ -142,16 +161,27 @@ def fold_summary(outcome: Outcome) -> DataFrame:
 
 
 def zero_shot(outcome: Outcome, external: DataFrame, already_scaled: bool = False):
-    """Score another corpus with stored parameters: (predictions by model, reports or None)."""
-    ready = settle(outcome.space(external, already_scaled))
-    predictions = {n: f.predict(ready) for n, f in outcome.fits.items()}
+    """Score another corpus with stored parameters: (predictions, reports or None).
+
+    Predictions go by the keys of ``outcome.fits``: by model, or by fold and model, each fold with its own scaler.
+    """
+    if "label" in external.columns:
+        known = external.sparkSession.createDataFrame([(c,) for c in outcome.classes], "label string")
+        stranger = unseen_labels(external, known).head()
+        if stranger is not None:
+            raise ContractError(f"label unknown to the models: {stranger['label']}")
+    folds = sorted({k[0] for k in outcome.fits if isinstance(k, tuple)})
+    if folds:
+        ready = {f: external if already_scaled else settle(outcome.fold_space(f, external)) for f in folds}
+        predictions = {(f, n): fitted.predict(ready[f]).withColumn("fold", F.lit(f)) for (f, n), fitted in outcome.fits.items()}
+        parts = [_reports(n, p, ["fold"]) for (_, n), p in predictions.items()]
+    else:
+        ready = settle(outcome.space(external, already_scaled))
+        predictions = {n: fitted.predict(ready) for n, fitted in outcome.fits.items()}
+        parts = [_reports(n, p) for n, p in predictions.items()]
     if "label" not in external.columns:
         return predictions, None
-    known = external.sparkSession.createDataFrame([(c,) for c in outcome.classes], "label string")
-    stranger = unseen_labels(external, known).head()
-    if stranger is not None:
-        raise ContractError(f"label unknown to the models: {stranger['label']}")
-    return predictions, _union([_reports(n, p) for n, p in predictions.items()]).orderBy("model")
+    return predictions, _union(parts).orderBy("model")
 
 
 def compare(outcomes: dict[str, Outcome]) -> DataFrame:

@@ -22,6 +22,9 @@ def local_session(cpus: str | int = "*", app: str = "clipwright", memory: str =
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
+        # the given tables are single small files: signals and events are dealt over the cores, short jobs are not
+        .config("spark.clipwright.partitions", str(cores))
+        .config("spark.clipwright.fit.tasks", "1")
         # plans here hold many small column expressions; recording a stack per expression costs seconds
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()

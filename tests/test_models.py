@@ -25,7 +25,7 @@ def rows(spark, sf_dir):
 def test_family_beats_majority(rows, name):
     train, test = rows.where("clip_id % 4 > 0"), rows.where("clip_id % 4 = 0")
     scaler = M.fit_scaler(train)
-    fitted = classifiers.fit(name, M.apply_scaler(train, scaler), class_names(train), FEW.get(name))
+    fitted = classifiers.fit(name, M.apply_scaler(train, scaler), class_names(train), FEW.get(name), tasks=1)
     pred = fitted.predict(M.apply_scaler(test, scaler))
     assert ("proba" in pred.columns) == fitted.has_proba
     report = metrics.evaluate(pred, (), "label", "pred_label").first()
@@ -44,7 +44,29 @@ def test_cross_validation_picks_the_best_mean(spark, rows):
     means = tuning.score_table(spark, "dtr", found)
     best = tuning.best_candidate(means.select("model", "candidate", "mean_score")).first()
     assert best["mean_score"] == pytest.approx(max(found.avgMetrics))
-    assert found.bestModel.getMaxDepth() == points[best["candidate"]]["max_depth"]
+    assert best["candidate"] == found.best
+    assert found.model.model.getMaxDepth() == points[best["candidate"]]["max_depth"]
+
+
+def test_kernel_candidates_are_searched_in_their_own_space(spark, rows, monkeypatch):
+    seen = []
+    plain = classifiers.kernel_space
+    monkeypatch.setattr(classifiers, "kernel_space", lambda df, gamma, *rest: (seen.append(gamma), plain(df, gamma, *rest))[1])
+    folded = rows.withColumn("fold", (F.col("clip_id") % 2).cast("int"))
+    points = [{"C": c, "kernel": "rbf", "gamma": g} for c in (0.5, 2.0) for g in ("scale", "auto")]
+    found = tuning.cross_validate("svm", folded, points, class_names(rows), folds=2, tasks=1)
+    assert seen == ["scale", "auto"] and len(set(found.avgMetrics)) > 1
+    assert found.model.settings["C"] == points[found.best]["C"]
+
+
+def test_kernel_family_has_probabilities_when_asked(rows):
+    fitted = classifiers.fit("svm", rows, class_names(rows), {"probability": True}, tasks=1)
+    pred = fitted.predict(rows).select("label", "pred_label", "proba")
+    assert fitted.has_proba
+    best = F.array_max(F.transform("proba", lambda p: F.struct(p["proba"], p["label"])))["label"]
+    assert pred.where(best != F.col("pred_label")).count() == 0
+    assert pred.where(F.abs(F.aggregate("proba", F.lit(0.0), lambda a, p: a + p["proba"]) - 1) > 1e-9).count() == 0
+    assert pred.where("label = pred_label").count() > 0.6 * pred.count()
 
 
 def test_neighbour_tuning(rows):
@@ -75,6 +97,11 @@ def test_protocols(spark, rows):
     assert set(predictions) == set(SMALL) and reports.count() == len(SMALL)
     _, projected_reports = protocols.zero_shot(projected, external)
     assert projected_reports.count() == len(SMALL)
+    by_fold, fold_reports = protocols.zero_shot(groups, external)
+    assert len(by_fold) == 5 * len(SMALL) and fold_reports.count() == 5 * len(SMALL)
+    assert fold_reports.where("accuracy < 0.4").count() == 0
+    with pytest.raises(ValueError):
+        groups.space(external)
     unlabelled, none = protocols.zero_shot(plain, external.drop("label"))
     assert none is None and unlabelled["nb"].count() == external.count()
     with pytest.raises(ContractError):

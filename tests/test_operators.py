@@ -371,3 +371,22 @@ def test_components(spark, sf_dir):
     spread = np.cov(points.T)
     assert np.allclose(spread - np.diag(np.diag(spread)), 0.0, atol=1e-8)
     assert np.allclose(points.mean(0), 0.0, atol=1e-8)
+
+
+def test_clip_listing(spark, tmp_path):
+    (tmp_path / "a.wav").write_bytes(b"abc")
+    (tmp_path / "b.txt").write_bytes(b"x")
+    found = readers.clip_listing(spark, str(tmp_path)).collect()
+    assert [(r["path"].rsplit("/", 1)[1], r["length"]) for r in found] == [("a.wav", 3)]
+
+
+def test_neighbours_with_string_ids_run_without_the_package_on_the_path(spark):
+    rng = np.random.default_rng(4)
+    rows = [(f"r{i:03d}", rng.normal(size=3).tolist(), "a") for i in range(300)]
+    ref = spark.createDataFrame(rows, "clip_id string, features array<double>, label string")
+    ask = ref.where("clip_id < 'r020'")
+    found = neighbours.nearest(ref, ask, 3, pivots=5, block_rows=40).collect()
+    points = {i: np.array(v) for i, v, _ in rows}
+    for q in {r["query_id"] for r in found}:
+        expected = sorted(points, key=lambda i: (np.linalg.norm(points[i] - points[q]), i))[:3]
+        assert [r["reference_id"] for r in sorted(found, key=lambda r: r["rank"]) if r["query_id"] == q] == expected
