@@ -448,3 +448,56 @@ def zero_shot_pca(spark, d):
     model = bayes.fit(components.transform(source, fitted))
     out = bayes.predict(components.transform(external, fitted), model)
     return out.select("clip_id", "dataset", "label", "pred_label")
+
+
+# ---- identities of fitted models ---------------------------------------------------
+
+def _gap(pred):
+    """Mean probability less share, per class."""
+    long = pred.select("label", F.explode("proba").alias("p"))
+    return long.groupBy(F.col("p.label").alias("label")).agg(
+        V.rounded(F.avg("p.proba") - F.avg((F.col("label") == F.col("p.label")).cast("double")), 3).alias("gap"))
+
+
+GAP_SQL = "SELECT DISTINCT label, 0.0::DOUBLE AS gap FROM clips"
+
+
+def _train_gap(name, spark, d):
+    rows = settle(T.scaled(spark, d).where("role = 'train'"))
+    fitted = classifiers.fit(name, rows, class_names(rows), tasks=T.fit_tasks(spark))
+    return _gap(fitted.predict(rows))
+
+
+@query("logistic_regression_optimum", GAP_SQL, "clips")
+def logistic_regression_optimum(spark, d):
+    """At the optimum of free intercepts the mean probability of a class is its share."""
+    return _train_gap("logistic", spark, d)
+
+
+@query("decision_tree_shares", GAP_SQL, "clips")
+def decision_tree_shares(spark, d):
+    """A leaf's probabilities are the shares of its training rows, so over all rows they are the classes' shares."""
+    return _train_gap("dtr", spark, d)
+
+
+@query("pca_lengths", "SELECT clip_id, round(sum(z * z), 6) AS squared FROM scaled GROUP BY clip_id", "scaled")
+def pca_lengths(spark, d):
+    """All components together only turn the scaled rows: lengths stay."""
+    rows = T.split(spark, d)
+    fitted = components.fit(rows.where("role = 'train'"), k=T.WIDTH)
+    return components.transform(rows, fitted).select("clip_id", V.rounded(
+        F.aggregate("features", F.lit(0.0), lambda a, v: a + v * v)).alias("squared"))
+
+
+@query("pca_shares", """
+    WITH m AS (SELECT clip_id, feature, z - avg(z) OVER (PARTITION BY feature) AS z FROM scaled WHERE role = 'train'),
+    c AS (SELECT a.feature AS i, b.feature AS j, avg(a.z * b.z) AS v FROM m a JOIN m b USING (clip_id) GROUP BY ALL)
+    SELECT 64::BIGINT AS n, 1.0::DOUBLE AS total,
+           round(sum(v * v) / power(sum(CASE WHEN i = j THEN v END), 2), 6) AS squares FROM c""".replace("WITH m AS", "SELECT * FROM (WITH m AS") + ")",
+       "scaled")
+def pca_shares(spark, d):
+    """Variance shares sum to 1, their squares to the covariance's squared norm over its squared trace."""
+    fitted = components.fit(T.split(spark, d).where("role = 'train'"), k=T.WIDTH)
+    table = components.variance_table(spark, fitted)
+    share = F.col("explained_variance_ratio")
+    return table.agg(F.count("*").alias("n"), V.rounded(F.sum(share)).alias("total"), V.rounded(F.sum(share * share)).alias("squares"))
