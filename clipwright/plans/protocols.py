@@ -174,14 +174,14 @@ def zero_shot(outcome: Outcome, external: DataFrame, already_scaled: bool = Fals
     if folds:
         ready = {f: external if already_scaled else settle(outcome.fold_space(f, external)) for f in folds}
         predictions = {(f, n): fitted.predict(ready[f]).withColumn("fold", F.lit(f)) for (f, n), fitted in outcome.fits.items()}
-        parts = [_reports(n, p, ["fold"]) for (_, n), p in predictions.items()]
+        reports = lambda: [_reports(n, p, ["fold"]) for (_, n), p in predictions.items()]
     else:
         ready = settle(outcome.space(external, already_scaled))
         predictions = {n: fitted.predict(ready) for n, fitted in outcome.fits.items()}
-        parts = [_reports(n, p) for n, p in predictions.items()]
+        reports = lambda: [_reports(n, p) for n, p in predictions.items()]
     if "label" not in external.columns:
         return predictions, None
-    return predictions, _union(parts).orderBy("model")
+    return predictions, _union(reports()).orderBy("model")
 
 
 def compare(outcomes: dict[str, Outcome]) -> DataFrame:

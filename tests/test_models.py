@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from catalog import views as T
+from catalog import QUERIES, views as T
 from clipwright.operators import classifiers, metrics, moments as M, tuning
 from clipwright.operators.sizing import class_names
 from clipwright.plans import protocols
@@ -111,3 +111,10 @@ def test_protocols(spark, rows):
 def test_too_few_rows(rows):
     with pytest.raises(ContractError):
         protocols.hold_out(rows, ["nb"], min_rows=500)
+
+
+@pytest.mark.parametrize("name", ["boosted_trees", "margin_classifier", "cv_tuning", "refit_best"])
+def test_long_queries_with_few_rounds(spark, sf_dir, monkeypatch, name):
+    monkeypatch.setitem(classifiers.SETTINGS, "xgb", {"n_estimators": 1, "max_depth": 2, "learning_rate": 0.1})
+    monkeypatch.setitem(tuning.GRIDS, "dtr", {"max_depth": [2, 4], "min_samples_leaf": [5]})
+    assert QUERIES[name](spark, sf_dir).count() == (2 if name == "cv_tuning" else 100)
