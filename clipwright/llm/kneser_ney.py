@@ -40,9 +40,9 @@ from clipwright.session import scratch_path
 
 END, START = np.uint64(0x5BD1E995A5A5F00D), np.uint64(0x1F83D9AB5BE0CD19)
 #: Tokens of the corpus for each bigram shard, and words for each word shard.
-SHARD_TOKENS, SHARD_WORDS = 4_000_000, 1_000_000
+SHARD_TOKENS, SHARD_WORDS = 2_000_000, 500_000
 #: Pairs a task gathers before it makes them distinct.
-GATHER = 6_000_000
+GATHER = 2_500_000
 LEAST_DISCOUNT = 0.1
 WORD_FIELDS = ["word", "count", "continuation", "total", "n1", "n2", "n3"]
 
