@@ -139,11 +139,19 @@ def mapped(folder: str, name: str) -> np.ndarray:
             while block := source.read(1 << 24):
                 copy.write(block)
             copy.flush()
-            return np.memmap(copy.name, np.uint8, "r") if copy.tell() else np.zeros(0, np.uint8)
-    path = f"{local}/{name}"
-    if not os.path.exists(path) or not os.path.getsize(path):
-        return np.zeros(0, np.uint8)        # no word or bigram fell into this shard
-    return np.memmap(path, np.uint8, "r")
+            return np.memmap(copy.name, np.uint8, "r")
+    return np.memmap(f"{local}/{name}", np.uint8, "r")
+
+
+def _empty_shards(spark, folder: str, kind: str, shards: int) -> None:
+    """A file for every shard, so that one into which nothing falls differs from one that cannot be seen."""
+    def run(batches):
+        for batch in batches:
+            for shard in batch.column("id").to_pylist():
+                put(folder, f"{kind}-{shard:07d}", [np.zeros(1, np.int64)])
+            yield batch
+
+    spark.range(shards).mapInArrow(run, "id long").write.format("noop").mode("overwrite").save()
 
 
 # ---------------------------------------------------------------- counting
@@ -294,6 +302,8 @@ def fit(docs: DataFrame, text_column: str = "text") -> Model:
     frequent = words.filter(F.col("count") * 1000 > n_tokens).toPandas()["word"].to_numpy(np.int64).view(np.uint64)
     heavy = np.sort(np.append(frequent, START).astype(np.uint64))
 
+    _empty_shards(spark, folder, "bigrams", shards)
+    _empty_shards(spark, folder, "words", word_shards)
     packed = texts.mapInArrow(_count_bigrams(heavy, shards), "shard int, first binary, runs binary, second binary, n binary")
     # an explicit number of partitions: a task merges one shard or two, not what is small when compressed
     partial = packed.repartition(shards, "shard").groupBy("shard").applyInPandas(
@@ -326,7 +336,7 @@ class Lookup:
     def _file(self, kind: str, shard: int, width: int):
         if (kind, shard) not in self.files:
             raw = mapped(self.model.folder, f"{kind}-{shard:07d}")
-            n = int(raw[:8].view(np.int64)[0]) if len(raw) else 0
+            n = int(raw[:8].view(np.int64)[0])
             columns, rest = [raw[8: 8 + 8 * n].view(np.uint64)], raw[8 + 8 * n:]
             size = len(rest) // (n * (width - 1)) if n else 8       # counts take two bytes where they fit
             columns += [rest[size * n * i: size * n * (i + 1)].view(f"{'u' if size < 8 else 'i'}{size}") for i in range(width - 1)]
