@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from clipwright.session import scratch_path
 
 #: Bytes of text that one call of a numpy kernel looks at; a longer document is one call of its own.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

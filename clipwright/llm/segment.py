@@ -13,7 +13,8 @@ order of their perturbed scores, each once: a sample without replacement.  The b
 threshold of the inclusion scores 1 - exp(-exp(log p - threshold)).
 
 Where two neighbouring characters stand side by side in no piece, every segmentation has a border.  Texts are cut there
-into units, and the distinct units of a block of texts are prepared once.  Random numbers come from the row's key alone.
+into units, and a task prepares a distinct unit once (it forgets them when they grow beyond a bound).  Random numbers
+come from the row's key alone.
 
 Decoding joins pieces, turns blank marks into blanks and drops the first, which encoding added: any segmentation
 decodes to its text.
@@ -29,13 +30,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipwright.llm.common import whole_text
+from clipwright.llm.common import mixed, whole_text
 
-#: Characters of text whose distinct units share one lattice table; a longer text is a block of its own.
-BLOCK_CHARS = 4_000_000
+#: Characters of text that are drawn together; a longer text is a block of its own.
+BLOCK_CHARS = 400_000
+#: Characters of distinct units a task keeps prepared; beyond it starts anew.
+KEPT_CHARS = 700_000
 _BASE = 0x9E3779B97F4A7C15
 _BACK = pow(_BASE, -1, 1 << 64)
 
@@ -96,15 +100,14 @@ class Lattice:
     length: np.ndarray           # edges: characters
     piece: np.ndarray            # edges: piece id, or -1 - code point for a character's bytes
     log_step: np.ndarray         # edges: log probability of the step at its node
-    reach: np.ndarray            # edges: node + cumulative probability, for drawing
+    reach: np.ndarray            # edges: cumulative probability at the node, for drawing; over 1 at the last
 
 
 def build_lattice(codes: np.ndarray, sizes: np.ndarray, vocabulary: Vocabulary) -> Lattice:
     """The lattice of units that stand one after the other in ``codes``."""
     n = len(codes)
     if not n:
-        none = np.zeros(0, np.int64)
-        return Lattice(np.zeros(1, np.int64), none, none, np.zeros(0), np.zeros(0))
+        return Lattice(np.zeros(1, np.int32), np.zeros(0, np.int16), np.zeros(0, np.int32), np.zeros(0), np.zeros(0, np.float32))
     ends = np.repeat(np.cumsum(sizes), sizes)
     left = ends - np.arange(n)                                  # characters to the end of the unit
     # fingerprints of all substrings that may be a piece, by Horner's rule from prefix values
@@ -150,33 +153,89 @@ def build_lattice(codes: np.ndarray, sizes: np.ndarray, vocabulary: Vocabulary)
         log_step[own] = value - np.repeat(sums, repeat)
     step = np.exp(log_step)
     running = np.cumsum(step)
-    before = np.concatenate([[0], running])[first_edge[:-1]] if n else np.zeros(0)
-    reach = place + np.minimum((running - before[place]) if n else running, 1.0)
-    if len(place):
-        reach[first_edge[1:] - 1] = np.arange(n) + 1.0        # the last edge of a node takes what rounding left
-    return Lattice(first_edge, length, piece, log_step, reach)
+    before = np.concatenate([[0], running])[first_edge[:-1]]
+    reach = (running - before[place]).astype(np.float32)
+    reach[first_edge[1:] - 1] = 2.0                       # the last edge of a node takes what rounding left
+    return Lattice(first_edge.astype(np.int32), length.astype(np.int16), piece.astype(np.int32), log_step, reach)
+
+
+class Units:
+    """The distinct units that a task has met, as one lattice that grows."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary = vocabulary
+        self.forget()
+
+    def forget(self) -> None:
+        self.prints = np.zeros(0, np.uint64)          # sorted
+        self.number = np.zeros(0, np.int64)           # of each print
+        self.bounds = np.zeros(1, np.int64)           # nodes before each unit
+        self.lattice = build_lattice(np.zeros(0, np.uint32), np.zeros(0, np.int64), self.vocabulary)
+
+    def numbers(self, prints: np.ndarray, codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Number of each unit, given sorted fingerprints and where each unit stands in ``codes``."""
+        if self.bounds[-1] > KEPT_CHARS:
+            self.forget()
+        at = np.searchsorted(self.prints, prints)
+        held = np.zeros(len(prints), bool)
+        inside = at < len(self.prints)
+        held[inside] = self.prints[at[inside]] == prints[inside]
+        out = np.empty(len(prints), np.int64)
+        out[held] = self.number[at[held]]
+        new = np.flatnonzero(~held)
+        if len(new):
+            ends = np.cumsum(sizes[new])
+            own = codes[np.repeat(starts[new] - (ends - sizes[new]), sizes[new]) + np.arange(ends[-1])]
+            out[new] = len(self.bounds) - 1 + np.arange(len(new))
+            self._append(build_lattice(own, sizes[new], self.vocabulary))
+            self.bounds = np.concatenate([self.bounds, self.bounds[-1] + ends])
+            order = np.argsort(np.concatenate([self.prints, prints[new]]), kind="stable")
+            self.prints = np.concatenate([self.prints, prints[new]])[order]
+            self.number = np.concatenate([self.number, out[new]])[order]
+        return out
+
+    def _append(self, more: Lattice) -> None:
+        old = self.lattice
+        self.lattice = Lattice(
+            np.concatenate([old.first_edge, old.first_edge[-1] + more.first_edge[1:]]),
+            *(np.concatenate([getattr(old, f), getattr(more, f)]) for f in ("length", "piece", "log_step", "reach")))
+
 
+def _draw(lattice: Lattice, starts: np.ndarray, stops: np.ndarray, uniform) -> tuple[np.ndarray, np.ndarray]:
+    """(edges, unit of each) of paths from each start to its stop, in text order.
 
-def _draw(lattice: Lattice, starts: np.ndarray, stops: np.ndarray, random) -> tuple[np.ndarray, np.ndarray]:
-    """(edges, word of each) of paths from each start to its stop, in text order."""
-    edges, words = [], []
+    ``uniform`` gives a number from 0 to 1 for each of some units at some nodes.
+    """
+    edges, units = [], []
     at, active = starts.copy(), np.flatnonzero(starts < stops)
     while len(active):
         node = at[active]
-        edge, goal = lattice.first_edge[node], node + random.random(len(active))
+        edge, goal = lattice.first_edge[node], uniform(active, node).astype(np.float32)
         other = np.flatnonzero(lattice.reach[edge] <= goal)       # mostly the first edge is taken
-        if len(other):
-            found = np.searchsorted(lattice.reach, goal[other], "right")
-            edge[other] = np.minimum(found, lattice.first_edge[node[other] + 1] - 1)
+        while len(other):
+            edge[other] += 1
+            other = other[lattice.reach[edge[other]] <= goal[other]]
         edges.append(edge)
-        words.append(active)
-        at[active] = node + lattice.length[edge]
-        active = active[at[active] < stops[active]]
+        units.append(active)
+        node = node + lattice.length[edge]
+        at[active] = node
+        active = active[node < stops[active]]
     if not edges:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    edge, word = np.concatenate(edges), np.concatenate(words)
-    order = np.argsort(word, kind="stable")
-    return edge[order], word[order]
+    edge, unit = np.concatenate(edges), np.concatenate(units)
+    order = np.argsort(unit, kind="stable")
+    return edge[order], unit[order]
+
+
+def _counted(keys: np.ndarray, offsets: np.ndarray):
+    """Uniform numbers that depend on a unit's row key, its place in the text and the node alone."""
+    base = mixed(keys) + offsets.astype(np.uint64) * np.uint64(_BASE)
+
+    def uniform(units, nodes):
+        drawn = mixed(base[units] + nodes.astype(np.uint64) * np.uint64(_BASE))
+        return (drawn >> np.uint64(11)).astype(np.float64) * 2.0 ** -53
+
+    return uniform
 
 
 def _truncated(location, bound, random):
@@ -193,8 +252,12 @@ def _remaining(log_taken):
         return np.log(np.maximum(-np.expm1(log_taken), 0.0))
 
 
-def sample_paths(lattice: Lattice, starts: np.ndarray, stops: np.ndarray, k: int, random):
-    """At most ``k`` distinct paths [(edges, log p, perturbed score)], best first, and the threshold left."""
+def sample_paths(lattice: Lattice, starts: np.ndarray, stops: np.ndarray, first, k: int, random):
+    """At most ``k`` distinct paths [(edges, log p, perturbed score)], best first, and the threshold left.
+
+    ``first`` is a drawn path: the one that attains the bound of the whole lattice.
+    """
+    uniform = lambda units, nodes: random.random(len(units))
     bound = -np.log(random.standard_exponential())
     found = []
 
@@ -206,7 +269,7 @@ def sample_paths(lattice: Lattice, starts: np.ndarray, stops: np.ndarray, k: int
         bounds[shared:] = _truncated(before[shared:-1] + _remaining(steps[shared:]), score, random)
         found.append({"edges": edges, "words": words, "before": before, "score": score, "bounds": bounds, "taken": {}})
 
-    add(*_draw(lattice, starts, stops, random), bound, 0)
+    add(*first, bound, 0)
     while True:
         tops = [(p["bounds"].max() if len(p["bounds"]) else -np.inf) for p in found]
         best = int(np.argmax(tops))
@@ -215,7 +278,8 @@ def sample_paths(lattice: Lattice, starts: np.ndarray, stops: np.ndarray, k: int
         path = found[best]
         t, score = int(np.argmax(path["bounds"])), tops[best]
         edge, word = int(path["edges"][t]), int(path["words"][t])
-        node = int(np.searchsorted(lattice.first_edge, edge, "right")) - 1
+        begin = int(np.searchsorted(path["words"], word))
+        node = int(starts[word]) + int(lattice.length[path["edges"][begin:t]].sum(dtype=np.int64))
         taken = path["taken"].setdefault(t, [edge])
         free = np.setdiff1d(np.arange(lattice.first_edge[node], lattice.first_edge[node + 1]), taken)
         odds = np.exp(lattice.log_step[free] - lattice.log_step[free].max())
@@ -226,8 +290,8 @@ def sample_paths(lattice: Lattice, starts: np.ndarray, stops: np.ndarray, k: int
         path["bounds"][t] = _truncated(location, score, random)
         # the new path keeps what stands before the step and draws what follows
         next_starts, next_stops = starts[word:].copy(), stops[word:]
-        next_starts[0] = node + lattice.length[chosen]
-        edges, words = _draw(lattice, next_starts, next_stops, random)
+        next_starts[0] = node + int(lattice.length[chosen])
+        edges, words = _draw(lattice, next_starts, next_stops, uniform)
         add(np.concatenate([path["edges"][:t], [chosen], edges]), np.concatenate([path["words"][:t], [word], words + word]),
             score, t + 1)
 
@@ -245,19 +309,21 @@ def piece_ids(lattice: Lattice, edges: np.ndarray, vocabulary: Vocabulary) -> np
     return np.concatenate([*out, pieces[begin:]]).astype(np.int32)
 
 
-def _blocks(texts: list[str]):
+def _blocks(sizes: list[int]):
+    """(first, behind the last) of runs of texts that are drawn together, given their lengths."""
     begin, size = 0, 0
-    for i, text in enumerate(texts):
-        if size and size + len(text) > BLOCK_CHARS:
+    for i, own in enumerate(sizes):
+        if size and size + own > BLOCK_CHARS:
             yield begin, i
             begin, size = i, 0
-        size += len(text)
-    if texts:
-        yield begin, len(texts)
+        size += own
+    if sizes:
+        yield begin, len(sizes)
 
 
-def segment_block(texts: list[str], keys: list[int], k: int, seed: int, vocabulary: Vocabulary):
+def segment_block(texts: list[str], keys: list[int], k: int, seed: int, kept: Units):
     """For each text its [(ids, log p, perturbed score, inclusion score)]."""
+    vocabulary = kept.vocabulary
     marked = ["▁" + text.replace(" ", "▁") if text else "" for text in texts]
     codes = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32)
     edges = np.concatenate([[0], np.cumsum([len(m) for m in marked], dtype=np.int64)]).astype(np.int64)
@@ -266,30 +332,37 @@ def segment_block(texts: list[str], keys: list[int], k: int, seed: int, vocabula
     border[edges] = True
     at = np.flatnonzero(border)
     first = np.searchsorted(at, edges)                        # units before each text
-    # distinct units by their fingerprints
-    sums = np.zeros(len(codes) + 1, np.uint64)
-    power, back = np.full((2, len(codes)), 1, np.uint64)
-    power[1:], back[1:] = _BASE, _BACK
-    np.multiply.accumulate(power, out=power)
-    np.multiply.accumulate(back, out=back)
+    starts = stops = np.zeros(0, np.int64)
     if len(codes):
+        # distinct units by their fingerprints
+        power, back = np.full((2, len(codes)), 1, np.uint64)
+        power[1:], back[1:] = _BASE, _BACK
+        np.multiply.accumulate(power, out=power)
+        np.multiply.accumulate(back, out=back)
+        sums = np.zeros(len(codes) + 1, np.uint64)
         np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * power, out=sums[1:])
         prints = (sums[at[1:]] - sums[at[:-1]]) * back[at[:-1]]
-    else:
-        prints = np.zeros(0, np.uint64)
-    del sums, power, back
-    _, chosen, units_of = np.unique(prints, return_index=True, return_inverse=True)
-    sizes = np.diff(at)[chosen] if len(codes) else np.zeros(0, np.int64)
-    bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-    own = codes[np.repeat(at[chosen] - bounds[:-1], sizes) + np.arange(bounds[-1])] if len(codes) else codes
-    lattice = build_lattice(own, sizes, vocabulary)
-    for b, e, key in zip(first[:-1], first[1:], keys):
-        units = units_of[b:e]
+        del sums, power, back
+        prints, chosen, units_of = np.unique(prints, return_index=True, return_inverse=True)
+        numbers = kept.numbers(prints, codes, at[chosen], np.diff(at)[chosen])
+        starts = kept.bounds[numbers][units_of]
+        stops = kept.bounds[numbers + 1][units_of]
+    lattice = kept.lattice
+
+    # the first path of every text at once; a unit's numbers depend on its own text and place only
+    salted = mixed(np.array([key & (1 << 64) - 1 for key in keys], np.uint64) + np.uint64(seed))
+    text_of = np.repeat(np.arange(len(texts)), np.diff(first))
+    uniform = _counted(salted[text_of], at[:-1][: len(starts)] - edges[text_of] - starts)
+    path, unit = _draw(lattice, starts, stops, uniform)
+    cut = np.searchsorted(unit, first)
+    for i, key in enumerate(keys):
+        b, e = first[i], first[i + 1]
         random = np.random.Generator(np.random.Philox(key=[key & (1 << 64) - 1, seed]))
-        paths, threshold = sample_paths(lattice, bounds[units], bounds[units + 1], k, random)
+        own = path[cut[i]: cut[i + 1]], unit[cut[i]: cut[i + 1]] - b
+        paths, threshold = sample_paths(lattice, starts[b:e], stops[b:e], own, k, random)
         with np.errstate(over="ignore"):
-            yield [(piece_ids(lattice, edges, vocabulary), log_p, score, float(-np.expm1(-np.exp(log_p - threshold))))
-                   for edges, log_p, score in paths]
+            yield [(piece_ids(lattice, edges_, vocabulary), log_p, score, float(-np.expm1(-np.exp(log_p - threshold))))
+                   for edges_, log_p, score in paths]
 
 
 def encode_samples(docs: DataFrame, model_file: str, k: int = 2, seed: int = 17, sharpness: float = 1.0,
@@ -304,12 +377,14 @@ def encode_samples(docs: DataFrame, model_file: str, k: int = 2, seed: int = 17,
     rows = docs.select(F.col(id_column).alias("id"), F.xxhash64(F.col(id_column)).alias("key"), whole_text(text_column).alias("text"))
 
     def run(batches):
-        vocabulary = Vocabulary(shared.value, sharpness)
+        kept = Units(Vocabulary(shared.value, sharpness))
         for batch in batches:
-            texts, keys = batch.column("text").to_pylist(), batch.column("key").to_pylist()
-            for begin, end in _blocks(texts):
+            sizes = pc.utf8_length(batch.column("text")).to_numpy(zero_copy_only=False)
+            for begin, end in _blocks(sizes.tolist()):
+                texts = batch.column("text").slice(begin, end - begin).to_pylist()
+                keys = batch.column("key").slice(begin, end - begin).to_pylist()
                 at, sample, pieces, n, values = [], [], [], [], []
-                for i, paths in enumerate(segment_block(texts[begin:end], keys[begin:end], k, seed, vocabulary), begin):
+                for i, paths in enumerate(segment_block(texts, keys, k, seed, kept), begin):
                     for number, (ids, *scores) in enumerate(paths, 1):
                         at.append(i)
                         sample.append(number)

@@ -324,7 +324,7 @@ def all_segmentations(text, vocabulary):
 def test_samples_follow_the_lattice_s_distribution(text, vocabulary):
     reference, n, k = all_segmentations(text, vocabulary), 3000, 2
     first, second, weight = collections.Counter(), collections.Counter(), collections.Counter()
-    for paths in segment.segment_block([text] * n, list(range(n)), k, 5, vocabulary):
+    for paths in segment.segment_block([text] * n, list(range(n)), k, 5, segment.Units(vocabulary)):
         ids = [tuple(p[0].tolist()) for p in paths]
         assert len(set(ids)) == len(ids) == min(k, len(reference))
         assert all(abs(p[1] - reference[i]) < 1e-9 for p, i in zip(paths, ids)) and paths[0][2] >= paths[-1][2]
