@@ -8,6 +8,7 @@ import pytest
 
 import corpus_pipeline
 from clipwright.llm.catalogue import URL_RULES
+from clipwright.llm.similar import similar_documents
 from clipwright.llm.topk import top_k
 from clipwright.llm.urls import judge_urls
 from pyspark.sql import functions as F
@@ -125,3 +126,49 @@ def test_stages_on_awkward_rows(spark, awkward, tmp_path):
                 assert docs.filter("doc_id = 1").count() == 0
         assert stage is not corpus_pipeline.segmentation
         assert corpus_pipeline.segmentation(spark, docs, folder).select("doc_id").count() >= docs.count()
+
+
+def brute_similar(texts, width=5, share=0.8):
+    """Smallest id of each text's component over all pairs, ids being the places."""
+    sets = []
+    for text in texts:
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        sets.append({tuple(words[i:i + width]) for i in range(max(1, len(words) - width + 1))} if words else set())
+    parent = list(range(len(texts)))
+
+    def find(a):
+        while parent[a] != a:
+            a = parent[a]
+        return a
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 5 * len(a & b) >= 4 * len(a | b):
+                x, y = sorted((find(i), find(j)))
+                parent[y] = x
+    return [find(i) for i in range(len(texts))]
+
+
+def test_near_duplicate_stage_finds_all_pairs_from_four_fifths(spark, awkward):
+    random = np.random.default_rng(3)
+    vocabulary = [f"w{i}" for i in range(300)]
+    passage = random.choice(vocabulary, 12).tolist()
+    texts = ["", None, " \n", "one two", "One  two", "one two three"]
+    for n in (8, 9, 13, 14, 24, 40, 100, 300):
+        for _ in range(6):
+            base = random.choice(vocabulary, n).tolist()
+            texts.append(" ".join(base))
+            for edits in (1, 1, 2, 3, 4, 6, 12):          # similarities on both sides of 0.8, and exactly 0.8
+                other = list(base)
+                for at in random.choice(n, min(edits, n // 4), replace=False):
+                    other[at] = str(random.integers(10**9))
+                texts += [" ".join(other), " ".join(base[edits:]), " ".join([*base, *other[:edits]])]
+    texts += [" ".join([*passage, *random.choice(vocabulary, 4)]) for _ in range(60)]      # a common passage
+    expected = brute_similar(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in similar_documents(docs.repartition(5)).collect()}
+    assert [found[i] for i in range(len(texts))] == expected
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicate(spark, docs, "").collect()}
+    assert kept == set(expected)
+    assert similar_documents(awkward.limit(0)).count() == 0
+    assert similar_documents(awkward).count() == awkward.count()
