@@ -39,11 +39,11 @@ def quantised(column: Column, scale: int = 256) -> Column:
 
 
 def impact_segments(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the postings by falling impact level, and where each level ends."""
+    """Positions of the postings by falling impact level, and where each level ends; the last one ends with the zeros."""
     level = np.frexp(np.abs(matrix).astype(np.float64))[1].ravel()
     order = np.argsort(-level, kind="stable").astype(np.int32)
     cuts = len(order) - np.searchsorted(level[order][::-1], np.arange(level.max(initial=0), 0, -1) - 0.5, "left")
-    return order, np.unique(cuts).astype(np.int32)
+    return order, np.append(np.unique(cuts)[:-1], len(order)).astype(np.int32)
 
 
 def build_index(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:

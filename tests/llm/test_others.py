@@ -52,6 +52,18 @@ def test_top_k_of_nothing(spark):
     assert top_k(empty, F.col("vec_id") % 10 == 0).count() == 0
 
 
+@pytest.mark.parametrize("case", ["all zero", "zero blocks among negative scores"])
+def test_top_k_of_blocks_without_postings(spark, monkeypatch, case):
+    from clipwright.llm import topk
+
+    monkeypatch.setattr(topk, "ROW_BLOCK", 4)
+    rows = [(i, [0.001, 0.0, 0.003]) for i in range(60)]
+    if case != "all zero":
+        rows[::10] = [(i, [1.0 if i % 20 else -1.0, 0.0, 0.5]) for i in range(0, 60, 10)]
+    found = top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 10 == 0)
+    assert sorted(tuple(r) for r in found.collect()) == brute_top(rows, lambda i: i % 10 == 0)
+
+
 def brute_rule(url):
     if url is None or "://" not in url:
         return "", "", None, None
