@@ -184,3 +184,12 @@ def op9_segmentation(spark: SparkSession, folder: str) -> DataFrame:
 
     samples = encode_samples(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     return samples.withColumn("pieces_sha256", F.sha2("pieces", 256)).drop("pieces")
+
+
+@query("op12_best_fit_packing")
+def op12_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    from clipwright.llm.packing import pack_documents
+
+    return pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))

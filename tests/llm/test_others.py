@@ -2,13 +2,14 @@
 
 import math
 import re
+import zlib
 
 import numpy as np
 import pytest
 
 import corpus_pipeline
 from clipwright.llm.catalogue import URL_RULES
-from clipwright.llm.similar import similar_documents
+from clipwright.llm.packing import best_fit, pack, pack_documents, pieces_of, sequences
 from clipwright.llm.topk import top_k
 from clipwright.llm.urls import judge_urls
 from pyspark.sql import functions as F
@@ -140,47 +141,88 @@ def test_stages_on_awkward_rows(spark, awkward, tmp_path):
         assert corpus_pipeline.segmentation(spark, docs, folder).select("doc_id").count() >= docs.count()
 
 
-def brute_similar(texts, width=5, share=0.8):
-    """Smallest id of each text's component over all pairs, ids being the places."""
-    sets = []
-    for text in texts:
-        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-        sets.append({tuple(words[i:i + width]) for i in range(max(1, len(words) - width + 1))} if words else set())
-    parent = list(range(len(texts)))
-
-    def find(a):
-        while parent[a] != a:
-            a = parent[a]
-        return a
-
-    for i, a in enumerate(sets):
-        for j, b in enumerate(sets[:i]):
-            if 5 * len(a & b) >= 4 * len(a | b):
-                x, y = sorted((find(i), find(j)))
-                parent[y] = x
-    return [find(i) for i in range(len(texts))]
-
-
-def test_near_duplicate_stage_finds_all_pairs_from_four_fifths(spark, awkward):
-    random = np.random.default_rng(3)
-    vocabulary = [f"w{i}" for i in range(300)]
-    passage = random.choice(vocabulary, 12).tolist()
-    texts = ["", None, " \n", "one two", "One  two", "one two three"]
-    for n in (8, 9, 13, 14, 24, 40, 100, 300):
-        for _ in range(6):
-            base = random.choice(vocabulary, n).tolist()
-            texts.append(" ".join(base))
-            for edits in (1, 1, 2, 3, 4, 6, 12):          # similarities on both sides of 0.8, and exactly 0.8
-                other = list(base)
-                for at in random.choice(n, min(edits, n // 4), replace=False):
-                    other[at] = str(random.integers(10**9))
-                texts += [" ".join(other), " ".join(base[edits:]), " ".join([*base, *other[:edits]])]
-    texts += [" ".join([*passage, *random.choice(vocabulary, 4)]) for _ in range(60)]      # a common passage
-    expected = brute_similar(texts)
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    found = {r.doc_id: r.component_id for r in similar_documents(docs.repartition(5)).collect()}
-    assert [found[i] for i in range(len(texts))] == expected
-    kept = {r.doc_id for r in corpus_pipeline.near_duplicate(spark, docs, "").collect()}
-    assert kept == set(expected)
-    assert similar_documents(awkward.limit(0)).count() == 0
-    assert similar_documents(awkward).count() == awkward.count()
+# ------------------------------------------------------------------ packing
+
+def test_best_fit_takes_the_fullest_bin_with_room():
+    random = np.random.default_rng(2)
+    for _ in range(20):
+        sizes = random.integers(1, 101, random.integers(1, 200))
+        bins, expected = [], 0
+        for size in sorted(sizes.tolist(), reverse=True):
+            fitting = [i for i, fill in enumerate(bins) if fill + size <= 100]
+            if fitting:
+                bins[max(fitting, key=lambda i: bins[i])] += size
+            else:
+                bins.append(size)
+        places, offsets, fills = best_fit(sizes, 100)
+        assert sorted(fills.tolist()) == sorted(bins)
+        for b in range(len(fills)):
+            own = sorted(zip(offsets[places == b].tolist(), sizes[places == b].tolist()))
+            assert [o for o, _ in own] == [sum(s for _, s in own[:i]) for i in range(len(own))]
+
+
+def checked_sequences(rows, capacity):
+    """Offsets are gapless from 0 in every sequence; returns the fills."""
+    held = {}
+    for r in rows:
+        held.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for own in held.values():
+        own.sort()
+        assert [o for o, _ in own] == [sum(n for _, n in own[:i]) for i in range(len(own))]
+        assert sum(n for _, n in own) <= capacity
+    return [sum(n for _, n in own) for own in held.values()]
+
+
+@pytest.mark.parametrize("lengths", ["mixed", "large", "tiny", "one"])
+def test_packing_in_many_groups_and_levels(spark, monkeypatch, lengths):
+    from clipwright.llm import packing
+
+    monkeypatch.setattr(packing, "GROUP", 100)
+    monkeypatch.setattr(packing, "FAN", 3)
+    random = np.random.default_rng(8)
+    draw = {"mixed": lambda: int(random.integers(1, 101)), "large": lambda: int(random.integers(40, 75)),
+            "tiny": lambda: int(random.integers(1, 4)), "one": lambda: 60}[lengths]
+    rows = [(None if i % 3 else i, draw(), i) for i in range(1000)]
+    pieces = spark.createDataFrame(rows, "id long, length long, key long")
+    found = pack(pieces, 100).collect()
+    assert sorted(r.length for r in found) == sorted(n for _, n, _ in rows)
+    fills = checked_sequences(found, 100)
+    total, large = sum(fills), sum(n > 50 for _, n, _ in rows)
+    assert len(fills) <= 1.08 * max(-(-total // 100), large)
+    assert sum(2 * f <= 100 for f in fills) <= 1
+
+
+def test_packed_documents_are_the_library_s_ids(spark, awkward, documents):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    more = ["Kelvin \u212a \u0130stanbul e\u0301a A\u030angstr\u00f6m", "a\x1cb c\x85d\xa0e\u2028f\u200bg", "it's we'll CAN'T x.", "a\x0bb\x0cc",
+            "<|startoftext|> in a<|endoftext|>word <|ENDOFTEXT|>", "!!! ... ?. a! 3. 12,5 \u4e2d\u6587\u3002", "\u0301 \u0301a"]
+    extra = spark.createDataFrame([(100 + i, t) for i, t in enumerate(more)], "doc_id long, text string")
+    docs = awkward.unionByName(extra, allowMissingColumns=True).unionByName(documents, allowMissingColumns=True)
+    whole = [(r.doc_id, library.encode(r.text or "", add_special_tokens=False).ids + [1]) for r in docs.collect()]
+    found = pack_documents(docs, path, with_ids=True).collect()
+    expected = [(i, at // 4096, at, ids[at: at + 4096]) for i, ids in whole for at in range(0, len(ids), 4096)]
+    got = [(r.doc_id, r.piece, r.start, np.frombuffer(r.ids, "<u4").tolist()) for r in found]
+    key = lambda r: (r[0] is None, r[0] or 0, r[1:])
+    assert sorted(got, key=key) == sorted(expected, key=key)
+    assert all(r.length == len(r.ids) // 4 and r.ids_crc32 == zlib.crc32(r.ids) for r in found)
+    fills = checked_sequences(found, 4096)
+    assert len(fills) <= 1 + -(-sum(fills) // 4096) * 1.01
+    laid = sequences(pack_documents(docs, path, with_ids=True)).collect()
+    assert sorted(len(r.ids) // 4 for r in laid) == sorted(fills)
+    assert pack_documents(docs.limit(0), path).count() == 0
+
+
+def test_a_worker_that_forgets_words_gives_the_same_ids(monkeypatch):
+    import public_tokenizers
+    from clipwright.llm import packing
+
+    content = open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8").read()
+    texts = [b"one two", b"two three, four", "five \u00e9t\u00e9 one".encode(), b""]
+    expected = packing.WordIds(content)(texts)
+    monkeypatch.setattr(packing, "KEPT_WORDS", 2)
+    small = packing.WordIds(content)
+    assert [small([t])[0] for t in texts] == expected == small(texts)
