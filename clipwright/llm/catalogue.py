@@ -193,3 +193,21 @@ def op12_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     from clipwright.llm.packing import pack_documents
 
     return pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of every document, with periodic words written into a tenth of them; texts are given by their digest."""
+    from clipwright.llm.periods import periodic_runs
+
+    found = periodic_runs(table(spark, folder, "documents"), plant=True)
+    # greatest length / period, the first of equal ones; runs come by start, then period
+    best = F.aggregate("runs", F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>"), lambda best, run: F.when(
+        best.isNull() | (run["length"] * best["period"] > best["length"] * run["period"]), run).otherwise(best))
+    listed = F.transform("runs", lambda r: F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))))
+    found = found.withColumn("best", best)
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(listed, lambda line: F.concat(line, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
