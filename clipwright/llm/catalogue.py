@@ -211,3 +211,31 @@ def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
         F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
         F.sha2(F.array_join(F.transform(listed, lambda line: F.concat(line, F.lit("\n"))), ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query("op11_ranked_search", r"""
+    WITH low AS (
+      SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+    size AS (SELECT count(*) AS n, sum(len(t))::BIGINT AS l FROM low WHERE len(t) > 0),
+    tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM low) GROUP BY r, term),
+    weight AS (SELECT term, floor(1000 * ln((2 * max(n) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, size GROUP BY term),
+    items AS (
+      SELECT row_number() OVER () AS i, item_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+    asked AS (SELECT i, term, count(*) AS times FROM (SELECT i, unnest(t) AS term FROM items) GROUP BY i, term),
+    m AS (SELECT r, 100 - 75 + ((75 * len(t)::BIGINT * n) // l) AS m FROM low, size WHERE len(t) > 0),
+    score AS (
+      SELECT i, r, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+      FROM asked JOIN weight USING (term) JOIN tf USING (term) JOIN m USING (r) GROUP BY i, r),
+    best AS (
+      SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank
+      FROM score JOIN items USING (i) JOIN low USING (r) WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM best WHERE rank <= 10
+""")
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    from clipwright.llm.ranked import rank_documents
+
+    return rank_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
