@@ -8,7 +8,7 @@ from catalog import views as T
 from catalog.q_join_split import KNN_SQL
 from catalog.registry import query, view
 from clipwright.functions import vectors as V
-from clipwright.operators import bayes, classifiers, components, metrics, moments as M, neighbours, splits, tuning
+from clipwright.operators import batched, bayes, classifiers, components, metrics, moments as M, neighbours, splits, tuning
 from clipwright.operators import labels as L
 from clipwright.operators.sizing import class_names
 from clipwright.session import settle
@@ -314,6 +314,48 @@ def refit_best(spark, d):
     return found.model.predict(rows.where("role = 'test'")).select("clip_id", "label", "pred_label")
 
 
+SEARCH_PASSES = {"logistic": 500, "svm": 50}
+
+
+def _linear_search(name, spark, d):
+    """The drawn candidates of a linear family over folds of the training split, all models in the same passes."""
+    rows = settle(T.scaled(spark, d))
+    train = settle(splits.stratified_folds(rows.where("role = 'train'"), "clip_id"))
+    points = batched.drawn_points(tuning.random_candidates(tuning.candidate_table(spark)), name)
+    # margins over expanded features come close to their optimum slowly; their scores settle long before
+    return rows, train, batched.search(name, train, points, class_names(train), max_passes=SEARCH_PASSES[name])
+
+
+@query("linear_search")
+def linear_search(spark, d):
+    """Every drawn candidate of the logistic and the margin family with its mean score and deviation over the folds."""
+    found = [_linear_search(name, spark, d)[2].scores for name in batched.LOSSES]
+    means = found[0].unionByName(found[1]).groupBy("model", "candidate").agg(
+        F.avg("score").alias("mean_score"), F.stddev_pop("score").alias("std_score"))
+    return means.select("model", "candidate", *T.r6("mean_score", "std_score"))
+
+
+@query("linear_search_optimum", """
+    SELECT CAST(f AS INTEGER) AS left_out, label, count(*) AS n, 0.0::DOUBLE AS gap
+    FROM train_kfold, range(0, 5) t(f) WHERE fold <> f GROUP BY f, label""", "train_kfold")
+def linear_search_optimum(spark, d):
+    """The logistic winner's model of every fold is at its optimum over that fold's training rows: no slope is left by intercepts."""
+    _, train, found = _linear_search("logistic", spark, d)
+    ready = batched.prepared(found.space, found.fold_models.classes, features="_space")
+    gaps = batched.intercept_gaps(ready, found.fold_models)
+    return gaps.select("left_out", "label", "n", V.rounded(F.col("gap"), 3).alias("gap"))
+
+
+@query("linear_refit")
+def linear_refit(spark, d):
+    """Test rows scored by each linear family's best candidate, fitted on the whole training split in the search itself."""
+    out = []
+    for name in batched.LOSSES:
+        rows, _, found = _linear_search(name, spark, d)
+        out.append(found.model.predict(rows.where("role = 'test'")).select(F.lit(name).alias("model"), "clip_id", "label", "pred_label"))
+    return out[0].unionByName(out[1])
+
+
 view("lc_fold", """
     SELECT clip_id, label, (r > n // 5)::INT + (r > 2 * n // 5)::INT + (r > 3 * n // 5)::INT + (r > 4 * n // 5)::INT AS fold
     FROM (SELECT clip_id, label, count(*) OVER (PARTITION BY label) AS n,

@@ -173,6 +173,11 @@ view("kfold", """
     SELECT clip_id, label, (r > n // 5)::INT + (r > 2 * n // 5)::INT + (r > 3 * n // 5)::INT + (r > 4 * n // 5)::INT AS fold
     FROM (SELECT clip_id, label, count(*) OVER (PARTITION BY label) AS n,
                  row_number() OVER (PARTITION BY label ORDER BY md5('42-' || clip_id), clip_id) AS r FROM clips)""", "clips")
+view("train_kfold", """
+    SELECT clip_id, label, (r > n // 5)::INT + (r > 2 * n // 5)::INT + (r > 3 * n // 5)::INT + (r > 4 * n // 5)::INT AS fold
+    FROM (SELECT clip_id, label, count(*) OVER (PARTITION BY label) AS n,
+                 row_number() OVER (PARTITION BY label ORDER BY md5('42-' || clip_id), clip_id) AS r FROM split WHERE role = 'train')""",
+     "split")
 view("sharp", "SELECT * FROM (VALUES ('alpha', 20.0::DOUBLE), ('beta', 35.0), ('gamma', 50.0)) t(model, sharp)")
 view("shifts", "SELECT * FROM (VALUES ('80_20', 0.0::DOUBLE), ('loso', 0.5), ('pca', 1.0)) t(workflow, shift)")
 view("types", """

@@ -9,8 +9,13 @@ Functions of this package that run inside tasks are sent by value, so executors
 need no copy of the package on their path.
 """
 
+import os
 import sys
 
-from pyspark import cloudpickle
+# Algebra on the driver is small, tasks have a core each, and the threads of numpy's BLAS do not survive the fork that
+# starts the JVM.  Has to be said before numpy is loaded.
+os.environ.setdefault("OPENBLAS_NUM_THREADS", "1")
+
+from pyspark import cloudpickle  # noqa: E402
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -128,6 +128,13 @@ def kernel_space(df: DataFrame, gamma: str, seed: int, features: str = "features
     return V.fenced(df, features, F.col(features)).withColumn(features, expand(F.col(features)))
 
 
+def kernel_projection(df: DataFrame, gamma: str, seed: int, features: str = "features") -> Callable[[DataFrame], DataFrame]:
+    """A function that adds ``_space``, the features expanded for the kernel width that ``df`` gives."""
+    width = len(df.select(features).first()[0])
+    expand = fourier_features(width, kernel_width(df, gamma, features), seed)
+    return lambda rows: V.fenced(rows, "_space", expand(F.col(features)))
+
+
 def _scores(vector: str, classes: Sequence[str]) -> Column:
     table = F.array(*[F.lit(c) for c in classes])
     return F.zip_with(

@@ -13,7 +13,8 @@ from tools.check import compare, database  # noqa: E402
 ORACLE = entry.oracle_sql()
 QUERIES = entry.queries()
 # minutes of sequential MLlib fits; test_models.py covers the same code with fewer rounds
-LONG = {"boosted_trees", "margin_classifier", "cv_tuning", "refit_best", "pipeline"}
+LONG = {"boosted_trees", "margin_classifier", "cv_tuning", "refit_best", "linear_search", "linear_refit",
+        "pipeline"}
 
 
 @pytest.fixture(scope="module")
