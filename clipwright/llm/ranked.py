@@ -208,14 +208,15 @@ def _block(spark: SparkSession, docs: DataFrame, own: list, k: int) -> DataFrame
         state = spark.sparkContext.broadcast((weights, documents, terms, own_terms, firsts))
         return rows.select(*columns).mapInArrow(_search(state, k), FOUND), state
 
-    # the longest bucket: what it holds the k best of is a lower bound for all
-    longest, first_state = searched(vectors.orderBy(F.desc("length")).limit(BUCKET).coalesce(1), [1] * len(own))
+    # the longest vectors, a bucket of them or more where lengths are equal: their k-th best score is a bound for all
+    cut = vectors.agg(F.percentile_approx("length", max(0.0, 1 - BUCKET / max(1, documents)), 10_000)).first()[0]
+    longest, first_state = searched(vectors.filter(F.col("length") >= F.lit(cut)).sortWithinPartitions(F.desc("length")), [1] * len(own))
+    place = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     firsts = [1] * len(own)
-    for row in longest.groupBy("item").agg(F.min("score").alias("least"), F.count("*").alias("n")).filter(F.col("n") == k).collect():
-        firsts[row["item"]] = row["least"]
+    for row in longest.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") == k).collect():   # a row per item
+        firsts[row["item"]] = row["score"]
     spread = vectors.repartitionByRange(F.desc("length"), F.xxhash64("id", "salt"))
     found, state = searched(spread.sortWithinPartitions(F.desc("length")), firsts)
-    place = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     ranked = found.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= k)
     out = written(ranked, "ranked-found")
     for held in (weighing, first_state, state):
