@@ -17,6 +17,7 @@ no two of them share a piece row; an empty table gives an empty result; other co
 from __future__ import annotations
 
 import json
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -33,14 +34,18 @@ from clipwright.llm.common import whole_text, written
 CAPACITY, END = 4096, 1
 #: Pieces packed by one task at a time, and groups that meet in one task of the tree.
 GROUP, FAN = 8192, 16
-#: Words whose ids a Python worker keeps; beyond that it starts anew.
-KEPT_WORDS = 1 << 19
+#: Words in one generation of those whose ids a Python worker keeps; it holds the current one and the one before.
+KEPT_WORDS = 5 << 17
 #: Texts tokenized together.
 BATCH = 256
 
 PIECES = "piece int, start long, length long, ids_crc32 long"
 
 
+def _bytes(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordIds:
     """Token ids of texts, from the ids of their words.
 
@@ -54,51 +59,56 @@ class WordIds:
         self.tokenizer = Tokenizer.from_str(content)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.special = [(t["content"], t["id"]) for t in json.loads(content)["added_tokens"] if t["special"]]
+        self.special = [t["content"] for t in json.loads(content)["added_tokens"]]
         self.kept: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def _letters(self, word: bytes) -> bytes:
         """Ids of ASCII letters: normalisation only lowers them, and they are one piece for the model."""
-        return np.array([t.id for t in self.tokenizer.model.tokenize(word.lower().decode())], "<u4").tobytes()
-
-    def _encoded(self, words: list[bytes]) -> list[bytes]:
-        """Ids of any words, by one call of the library with a special token between them."""
-        joined = b" ".join(words).decode()
-        for mark, number in self.special:
-            if mark not in joined:
-                ids = np.array(self.tokenizer.encode(joined.replace(" ", mark), add_special_tokens=False).ids, "<u4")
-                cuts = 4 * np.flatnonzero(ids == number)
-                data = ids.tobytes()
-                return [data[a:b] for a, b in zip([0, *(cuts + 4).tolist()], [*cuts.tolist(), len(data)])]
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
-
-    def learn(self, words: set[bytes]) -> None:
-        rest = []
-        for word in words:
+        low = word.lower()
+        known = self.kept.get(low) or self.older.get(low)
+        if known is None:
+            known = self.kept[low] = _bytes([t.id for t in self.tokenizer.model.tokenize(low.decode())])
+        return known
+
+    def _any(self, word: bytes) -> bytes:
+        """Ids of any word, by the tokenizer's parts one after the other; a whole call costs twice as much."""
+        text, parts = word.decode(), self.tokenizer
+        if any(mark in text for mark in self.special):
+            ids = parts.encode(text, add_special_tokens=False).ids
+        else:
+            pieces = parts.pre_tokenizer.pre_tokenize_str(parts.normalizer.normalize_str(text))
+            ids = [t.id for piece, _ in pieces for t in parts.model.tokenize(piece)]
+        return _bytes(ids)
+
+    def learn(self, word: bytes) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
             if word.isalpha():
-                self.kept[word] = self._letters(word)
+                ids = self._letters(word)
             elif word[-1:] in b".,;:!?" and word[:-1].isalpha():    # a mark after letters is a piece of its own
-                if word[-1:] not in self.kept:
-                    self.kept[word[-1:]] = self._encoded([word[-1:]])[0]
-                self.kept[word] = self._letters(word[:-1]) + self.kept[word[-1:]]
+                ids = self._letters(word[:-1]) + (self.kept.get(word[-1:]) or self.learn(word[-1:]))
             else:
-                rest.append(word)
-        if rest:
-            self.kept.update(zip(rest, self._encoded(rest)))
+                ids = self._any(word)
+        self.kept[word] = ids
+        return ids
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each text.  ASCII white space alone divides words here."""
         split = [t.split() for t in texts]
         found = [list(map(self.kept.get, words)) for words in split]
-        missing = [i for i, ids in enumerate(found) if None in ids]
-        if missing:
-            new = {w for i in missing for w, ids in zip(split[i], found[i]) if ids is None}
-            if len(self.kept) + len(new) > KEPT_WORDS:
-                self.kept, new = {}, {w for i in missing for w in split[i]}
-            self.learn(new)
-            for i in missing:
-                found[i] = list(map(self.kept.__getitem__, split[i]))
+        for words, ids in zip(split, found):
+            at = -1
+            try:
+                while True:
+                    at = ids.index(None, at + 1)
+                    word = words[at]
+                    known = self.kept.get(word)
+                    ids[at] = known if known is not None else self.learn(word)
+            except ValueError:      # no word is missing any more
+                pass
+        if len(self.kept) > KEPT_WORDS:
+            self.older, self.kept = self.kept, {}
         return [b"".join(ids) for ids in found]
 
 
@@ -107,7 +117,7 @@ _encoders: dict[str, WordIds] = {}
 
 def _cut(content, capacity: int, end: int, with_ids: bool):
     """Pieces of every document; ``key`` is unique among all pieces."""
-    closing = np.array([end], "<u4").tobytes()
+    closing = _bytes([end])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text = content.value
