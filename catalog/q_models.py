@@ -8,7 +8,7 @@ from catalog import views as T
 from catalog.q_join_split import KNN_SQL
 from catalog.registry import query, view
 from clipwright.functions import vectors as V
-from clipwright.operators import batched, bayes, classifiers, components, metrics, moments as M, neighbours, splits, tuning
+from clipwright.operators import batched, bayes, classifiers, components, metrics, moments as M, neighbours, splits, trees, tuning
 from clipwright.operators import labels as L
 from clipwright.operators.sizing import class_names
 from clipwright.session import settle
@@ -243,6 +243,39 @@ def predict_label(spark, d):
     return _family("nb", spark, d)
 
 
+TREE_SETTINGS = {"dtr": {}, "rf": {"n_estimators": 20, "max_depth": 8}}
+
+
+@query("tree_tables", """
+    SELECT model, clip_id, 0 AS other_label, 0.0::DOUBLE AS proba_gap
+    FROM split, (VALUES ('dtr'), ('rf')) m(model) WHERE role = 'test'""", "split")
+def tree_tables(spark, d):
+    """Test rows scored from node tables beside the models they come from: same label, same probabilities."""
+    rows = settle(T.scaled(spark, d))
+    train, test, out = rows.where("role = 'train'"), rows.where("role = 'test'"), []
+    for name, settings in TREE_SETTINGS.items():
+        fitted = classifiers.fit(name, train, class_names(rows), settings, tasks=T.fit_tasks(spark))
+        theirs = fitted.predict(test).withColumnsRenamed({"pred_label": "their_label", "proba": "their_proba"})
+        depth = fitted.settings["max_depth"]
+        both = trees.score(theirs, trees.node_table(fitted), fitted.classes, depth)
+        gaps = F.zip_with("proba", "their_proba", lambda a, b: F.abs(a["proba"] - b["proba"]))
+        out.append(both.select(F.lit(name).alias("model"), "clip_id", (F.col("pred_label") != F.col("their_label")).cast("int").alias("other_label"),
+                               V.rounded(F.array_max(gaps)).alias("proba_gap")))
+    return out[0].unionByName(out[1])
+
+
+@query("tree_leaves", """
+    SELECT label, count(*) AS n FROM split WHERE role = 'train' GROUP BY label""", "split")
+def tree_leaves(spark, d):
+    """The leaves of the tree's node table hold every training row once, class by class."""
+    rows = settle(T.scaled(spark, d).where("role = 'train'"))
+    fitted = classifiers.fit("dtr", rows, class_names(rows))
+    leaves = trees.node_table(fitted).where("left IS NULL")
+    pairs = F.arrays_zip(F.array(*[F.lit(c) for c in fitted.classes]).alias("label"), V.scale(F.col("shares"), F.col("rows")).alias("n"))
+    return leaves.select(F.explode(pairs).alias("p")).groupBy(F.col("p.label").alias("label")).agg(
+        F.round(F.sum("p.n")).cast("long").alias("n"))
+
+
 # ---- tuning ------------------------------------------------------------------------
 
 GRID_SIZES = """VALUES ('rf', 36), ('xgb', 27), ('svm', 6), ('knn', 8), ('dtr', 9), ('logistic', 16), ('nb', 5)"""
