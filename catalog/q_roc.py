@@ -105,8 +105,7 @@ def macro_roc_curve(spark, d):
     GROUP BY workflow, model, x""", "deep_curve")
 def fold_roc_average(spark, d):
     keys = [*KEYS, "fold"]
-    curves = roc.macro_curve(roc.roc_points(T.scores(spark, d), keys), keys)
-    return roc.average_curves(curves, KEYS, "fold").select(*KEYS, *T.r6("x", "tpr"))
+    return roc.average_class_curves(roc.roc_points(T.scores(spark, d), keys), KEYS, "fold").select(*KEYS, *T.r6("x", "tpr"))
 
 
 @query("proba_align", """

@@ -217,3 +217,54 @@ def average_curves(curves: DataFrame, keys: Sequence[str], fold: str, steps: int
         .otherwise(blend)
     )
     return laid.select(*group, "x", value.alias("y")).groupBy(*keys, "x").agg(F.avg("y").alias("tpr"))
+
+
+def average_class_curves(points: DataFrame, keys: Sequence[str], fold: str, steps: int = GRID_STEPS) -> DataFrame:
+    """Mean over folds of their macro curves at ``steps + 1`` even FPR values, ends forced to 0 and 1.
+
+    What :func:`average_curves` gives for the :func:`macro_curve` of every fold, without building these: a macro curve is
+    straight between neighbouring nodes of any class, so a grid value needs the nodes on both sides of it alone.  Class
+    curves shrink to two nodes per class and grid cell before any ordering happens.
+    """
+    keys = list(keys)
+    group = [*keys, fold]
+    curves = steps_of(points, group).withColumnRenamed("fpr", "x")
+    cell = F.floor(F.col("x") * steps).cast("int")
+    # guard against 0.29 * 100 = 28.999...: a point belongs to cell j from j / steps on
+    cell = F.when(F.col("x") >= (cell + 1) / F.lit(float(steps)), cell + 1).otherwise(cell)
+    cell = F.when(F.col("x") < cell / F.lit(float(steps)), cell - 1).otherwise(cell)
+    # these nodes are the first or last of their cell over all classes, so the ends of each class's own cells enclose them
+    node = F.struct("x", "lo", "hi")
+    ends = curves.withColumn("_cell", cell).groupBy(*group, "class", "_cell").agg(F.array_distinct(F.array(F.min(node), F.max(node))).alias("_ends"))
+    curves = settle(ends.select(*group, "class", "_cell", F.explode("_ends").alias("n")).select(*group, "class", "_cell", "n.*"))
+    packed = curves.groupBy(*group, "_cell").agg(F.min("x").alias("_first"), F.max("x").alias("_last"))
+    known = curves.groupBy(*group).agg(F.collect_set("class").alias("_classes"))
+    grid = known.select(*group, F.explode(F.sequence(F.lit(0), F.lit(steps))).alias("_cell"))
+    edge = Window.partitionBy(*group).orderBy("_cell")
+    back = Window.partitionBy(*group).orderBy(F.desc("_cell"))
+    past = (Window.unboundedPreceding, -1)
+    laid = ranking.meet(grid, packed, [*group, "_cell"], "left").withColumn("x", F.col("_cell") / F.lit(float(steps)))
+    laid = laid.withColumns({
+        "_before": F.last("_last", ignorenulls=True).over(edge.rowsBetween(*past)),
+        "_after": F.last("_first", ignorenulls=True).over(back.rowsBetween(*past)),
+    })
+    # the node on the grid value, or else the nodes on both sides of it
+    exact = F.col("_first") == F.col("x")
+    laid = settle(laid.select(
+        *group, "_cell", "x", F.when(exact, F.col("_first")).otherwise(F.col("_before")).alias("a"),
+        F.when(~F.coalesce(exact, F.lit(False)), F.coalesce("_first", "_after")).alias("b")))
+    nodes = laid.select(*group, F.explode(F.array("a", "b")).alias("x")).where("x IS NOT NULL").distinct()
+    wanted = ranking.meet(nodes, known, group).select(*group, "x", F.explode("_classes").alias("class"))
+    heights = interpolate(curves.drop("_cell"), wanted, [*group, "class"]).groupBy(*group, "x").agg(F.avg("y").alias("y"))
+    heights = settle(heights)
+    for side in ("a", "b"):
+        laid = laid.join(heights.select(*group, F.col("x").alias(side), F.col("y").alias(f"y_{side}")), [*group, side], "left")
+    blend = F.col("y_a") + (F.col("y_b") - F.col("y_a")) * (F.col("x") - F.col("a")) / (F.col("b") - F.col("a"))
+    value = (
+        F.when(F.col("_cell") == 0, 0.0)
+        .when(F.col("_cell") == steps, 1.0)
+        .when(F.col("b").isNull(), F.col("y_a"))
+        .when(F.col("a").isNull(), F.col("y_b"))
+        .otherwise(blend)
+    )
+    return laid.select(*group, "x", value.alias("y")).groupBy(*keys, "x").agg(F.avg("y").alias("tpr"))
