@@ -576,3 +576,15 @@ def pca_shares(spark, d):
     table = components.variance_table(spark, fitted)
     share = F.col("explained_variance_ratio")
     return table.agg(F.count("*").alias("n"), V.rounded(F.sum(share)).alias("total"), V.rounded(F.sum(share * share)).alias("squares"))
+
+
+@query("pca_residuals", """
+    SELECT CAST(feature + 1 AS INTEGER) AS component, 0.0::DOUBLE AS residual, 1.0::DOUBLE AS length
+    FROM (SELECT DISTINCT feature FROM feat)""", "feat")
+def pca_residuals(spark, d):
+    """Every component is an eigenvector of the training covariance: C v = lambda v, of length 1."""
+    rows = T.split(spark, d).where("role = 'train'")
+    fitted = components.fit(rows, k=T.WIDTH)
+    train = M.apply_scaler(rows, fitted.scaler)
+    found = components.residuals(train, components.loadings(spark, fitted), components.variance_table(spark, fitted))
+    return found.select(F.col("component").cast("int").alias("component"), *T.r6("residual", "length"))

@@ -130,6 +130,21 @@ def loadings(spark: SparkSession, fitted: Components) -> DataFrame:
     )
 
 
+def residuals(train: DataFrame, table: DataFrame, shares: DataFrame, features: str = "features") -> DataFrame:
+    """(component, residual, length): how far each component is from an eigenvector of the training covariance, and its length.
+
+    ``train`` is scaled as the fit saw it, ``table`` comes from :func:`loadings`, ``shares`` from :func:`variance_table`.
+    The residual is the largest entry of C v - lambda v; everything joined is features x components at most.
+    """
+    cells = covariance(train, features)
+    trace = cells.where("i = j").agg(F.sum("cov"))
+    turned = cells.join(table.withColumnRenamed("feature", "j"), "j").groupBy("component", "i").agg(
+        F.sum(F.col("cov") * F.col("weight")).alias("turned"))
+    both = turned.join(table.withColumnRenamed("feature", "i"), ["component", "i"]).join(shares, "component")
+    gap = F.abs(F.col("turned") - F.col("explained_variance_ratio") * trace.scalar() * F.col("weight"))
+    return both.groupBy("component").agg(F.max(gap).alias("residual"), F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("length"))
+
+
 def top_loadings(table: DataFrame, components: int = 5, per_component: int = 5) -> DataFrame:
     """The strongest features of the first components."""
     place = Window.partitionBy("component").orderBy(F.desc(F.abs("weight")), "feature")
