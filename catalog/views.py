@@ -78,12 +78,16 @@ def folded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splits.stratified_folds(features(spark, sf_dir), "clip_id")
 
 
+def shifted(rows: DataFrame) -> DataFrame:
+    """The rows as another corpus whose features lie elsewhere."""
+    moved = F.transform("features", lambda v: v * 1.5 + 0.1)
+    return rows.withColumn("features", moved).withColumn("dataset", F.lit("ext"))
+
+
 def corpora(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Source corpus and a shifted external one."""
     rows = features(spark, sf_dir)
-    moved = F.transform("features", lambda v: v * 1.5 + 0.1)
-    external = rows.where("clip_id % 7 = 0").withColumn("features", moved).withColumn("dataset", F.lit("ext"))
-    return rows.where("clip_id % 7 <> 0"), external
+    return rows.where("clip_id % 7 <> 0"), shifted(rows.where("clip_id % 7 = 0"))
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
