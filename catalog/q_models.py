@@ -347,24 +347,19 @@ def refit_best(spark, d):
     return found.model.predict(rows.where("role = 'test'")).select("clip_id", "label", "pred_label")
 
 
-SEARCH_PASSES = {"logistic": 500, "svm": 50}
-
-
 def _linear_search(name, spark, d):
     """The drawn candidates of a linear family over folds of the training split, all models in the same passes."""
     rows = settle(T.scaled(spark, d))
     train = settle(splits.stratified_folds(rows.where("role = 'train'"), "clip_id"))
     points = batched.drawn_points(tuning.random_candidates(tuning.candidate_table(spark)), name)
-    # margins over expanded features come close to their optimum slowly; their scores settle long before
-    return rows, train, batched.search(name, train, points, class_names(train), max_passes=SEARCH_PASSES[name])
+    return rows, train, batched.search(name, train, points, class_names(train))
 
 
 @query("linear_search")
 def linear_search(spark, d):
-    """Every drawn candidate of the logistic and the margin family with its mean score and deviation over the folds."""
-    found = [_linear_search(name, spark, d)[2].scores for name in batched.LOSSES]
-    means = found[0].unionByName(found[1]).groupBy("model", "candidate").agg(
-        F.avg("score").alias("mean_score"), F.stddev_pop("score").alias("std_score"))
+    """Every drawn candidate of the logistic family with its mean score and deviation over the folds."""
+    scores = _linear_search("logistic", spark, d)[2].scores
+    means = scores.groupBy("model", "candidate").agg(F.avg("score").alias("mean_score"), F.stddev_pop("score").alias("std_score"))
     return means.select("model", "candidate", *T.r6("mean_score", "std_score"))
 
 
@@ -381,12 +376,9 @@ def linear_search_optimum(spark, d):
 
 @query("linear_refit")
 def linear_refit(spark, d):
-    """Test rows scored by each linear family's best candidate, fitted on the whole training split in the search itself."""
-    out = []
-    for name in batched.LOSSES:
-        rows, _, found = _linear_search(name, spark, d)
-        out.append(found.model.predict(rows.where("role = 'test'")).select(F.lit(name).alias("model"), "clip_id", "label", "pred_label"))
-    return out[0].unionByName(out[1])
+    """Test rows scored by the logistic family's best candidate, fitted on the whole training split in the search itself."""
+    rows, _, found = _linear_search("logistic", spark, d)
+    return found.model.predict(rows.where("role = 'test'")).select("clip_id", "label", "pred_label")
 
 
 view("lc_fold", """
