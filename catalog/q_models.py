@@ -276,6 +276,34 @@ def tree_leaves(spark, d):
         F.round(F.sum("p.n")).cast("long").alias("n"))
 
 
+def _boosted(spark, d):
+    """Short boosting of every class over the training split, with the rows it was fitted on."""
+    rows = settle(T.scaled(spark, d))
+    settings = {"n_estimators": 5, "max_depth": 3}
+    return rows, classifiers.fit("xgb", rows.where("role = 'train'"), class_names(rows), settings, tasks=T.fit_tasks(spark))
+
+
+@query("boosted_tables", """
+    SELECT clip_id, 0 AS other_label, 0.0::DOUBLE AS proba_gap FROM split WHERE role = 'test'""", "split")
+def boosted_tables(spark, d):
+    """Test rows scored from the boosted model's node table beside the model itself: same label, same probabilities."""
+    rows, fitted = _boosted(spark, d)
+    theirs = fitted.predict(rows.where("role = 'test'")).withColumnsRenamed({"pred_label": "their_label", "proba": "their_proba"})
+    both = trees.score_boosted(theirs, trees.boosted_table(fitted), fitted.classes, fitted.settings["max_depth"])
+    gaps = F.zip_with("proba", "their_proba", lambda a, b: F.abs(a["proba"] - b["proba"]))
+    return both.select("clip_id", (F.col("pred_label") != F.col("their_label")).cast("int").alias("other_label"),
+                       V.rounded(F.array_max(gaps)).alias("proba_gap"))
+
+
+@query("boosted_leaves", """
+    SELECT label, CAST(tree AS INTEGER) AS tree, n
+    FROM (SELECT DISTINCT label FROM split), range(0, 5) t(tree), (SELECT count(*) AS n FROM split WHERE role = 'train')""", "split")
+def boosted_leaves(spark, d):
+    """The leaves of every boosted tree of every class hold each training row once."""
+    leaves = trees.boosted_table(_boosted(spark, d)[1]).where("left IS NULL")
+    return leaves.groupBy("label", "tree").agg(F.round(F.sum("rows")).cast("long").alias("n"))
+
+
 # ---- tuning ------------------------------------------------------------------------
 
 GRID_SIZES = """VALUES ('rf', 36), ('xgb', 27), ('svm', 6), ('knn', 8), ('dtr', 9), ('logistic', 16), ('nb', 5)"""
