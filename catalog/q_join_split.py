@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from catalog import views as T
 from catalog.registry import query
 from clipwright.functions import vectors as V
-from clipwright.operators import labels as L, metrics, moments as M, neighbours, splits
+from clipwright.operators import hashed, labels as L, metrics, moments as M, neighbours, splits
+from clipwright.session import settle
 
 
 @query("label_encode", """
@@ -89,6 +90,19 @@ def knn_join(spark, d):
     return found.select("query_id", "reference_id", "label", "rank", F.round("distance", 6).alias("distance"))
 
 
+@query("knn_hashed", f"""
+    SELECT query_id, count(*) AS n, 0 AS too_near, true AS recall_reached FROM ({KNN_SQL}) GROUP BY query_id""", "scaled")
+def knn_hashed(spark, d):
+    """Approximate neighbours beside the exact ones: as many, none nearer than possible, recall of all at least 0.9."""
+    rows = T.scaled(spark, d)
+    train, test = settle(rows.where("role = 'train'")), settle(rows.where("role = 'test'"))
+    found, exact = settle(hashed.nearest(train, test, 15)), settle(neighbours.nearest(train, test, 15))
+    both = found.join(exact.select("query_id", "rank", F.col("distance").alias("least")), ["query_id", "rank"])
+    below = (F.col("distance") < F.col("least") * (1 - neighbours.SLACK)).cast("int")
+    return both.groupBy("query_id").agg(F.count("*").alias("n"), F.sum(below).cast("int").alias("too_near")).withColumn(
+        "recall_reached", F.lit(hashed.recall(found, exact) >= 0.9))
+
+
 # ---- distributions -----------------------------------------------------------------
 
 @query("label_distribution", """
