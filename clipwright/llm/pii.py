@@ -3,14 +3,20 @@
 Base kinds are found leftmost and non-overlapping, each on its own.  A text is split by the kind's expression; lengths
 of what lies between and of the matches give positions in code points.
 
-The bootstrap looks at *instances*: base entities (the seeds) and every other token that holds a digit.  The words
-around an occurrence make its lexical patterns: the two words before it, and the word before with the word behind.
-Patterns and distinct instances form a graph.  In each round a pattern scores the mean score of its instances and an
-instance the best score of its trusted patterns (those with enough scored instances); seeds score 1 throughout.  A
-token that stands in a pattern of high confidence after the last round is reported as kind ``id``.  Copies count once,
-since edges join distinct values.
+The bootstrap looks at *instances*: base entities (the seeds) and every other token that holds a digit or one of the signs
+``@ _ #``.  The whole words around an occurrence, however long, make its lexical patterns: the two words before it, and the
+word before with the word behind.  Patterns and distinct instances form a graph, scored in rounds:
 
-Only DataFrame functions are used.  The context of an occurrence is the 200 characters on either side.
+- A pattern is *known* if a sure instance stands in it.  An instance's *doubt* is the share of its different contexts with no
+  known pattern: a number that stands everywhere is no identifier, one that stands only where identifiers do may be.
+- A pattern scores for / (for + against): the scores of its instances, and what is missing to a score of 1 times the doubt.
+  An instance nothing is known about speaks neither way.  Patterns with enough sure instances and score are trusted.
+- An instance scores the best of its trusted patterns; seeds score 1 throughout.
+
+A token that stands in a trusted pattern of the last round, and is not doubtful itself, is reported as kind ``id``.  Copies count
+once, since edges join distinct values.
+
+Only DataFrame functions are used.
 
 Defined results: a null or empty text has no spans; repeated rows and null ids give a row each; an empty table gives
 an empty result; other columns are ignored.
@@ -33,9 +39,11 @@ KINDS = [
 ]
 #: Cheap necessary conditions, so that most texts skip the expression.
 HINTS = {"email": "@", "phone": "+"}
-#: A token with a digit; kind of the spans that the bootstrap adds.
-TOKEN, METHOD_KIND = r"(?<!\S)[^\s0-9]*+[0-9]\S*+", "id"
-CONTEXT = 200
+#: A token with a digit or sign of an identifier; kind of the spans that the bootstrap adds.
+SIGNS = "0-9@_#"
+TOKEN, METHOD_KIND = rf"(?<!\S)[^\s{SIGNS}]*+[{SIGNS}]\S*+", "id"
+#: Characters in which context words are looked for first; where whole words reach beyond, all of the text is taken.
+NEAR = 200
 EDGES = r"^[\"'(\[{<=:;,]+|[\"')\]}>,;:.!?]+$"
 
 
@@ -94,59 +102,80 @@ def spelled(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["s"].cast("string"), x["e"].cast("string"))), ",")
 
 
+def _words(near: str, whole: str, more: str, enough: int) -> Column:
+    """Lower-case words of the near text, or of the whole one where more text follows and too few words are surely whole."""
+    parts = lambda text: F.filter(F.split(F.lower(F.expr(text)), r"\s+"), lambda w: w != "")
+    return F.when(F.expr(more) & (F.size(parts(near)) < enough), parts(whole)).otherwise(parts(near))
+
+
 def _candidates(marked: DataFrame) -> DataFrame:
-    """(key, s, e, value, seed, patterns) of base entities and of other tokens with a digit."""
+    """(key, s, e, value, seed, patterns) of base entities and of other tokens that may identify someone."""
     none = F.array().cast("array<struct<s:int,e:int,m:string>>")
-    tokens = F.when(F.col("text").rlike("[0-9]"), occurrences(F.col("text"), TOKEN)).otherwise(none)
+    tokens = F.when(F.col("text").rlike(f"[{SIGNS}]"), occurrences(F.col("text"), TOKEN)).otherwise(none)
     # a token that touches a base span is part of it
     free = F.filter(tokens, lambda t: ~F.exists("base", lambda b: (b["s"] < t["e"]) & (t["s"] < b["e"])))
     both = F.concat(F.transform("base", lambda b: F.struct(b["s"], b["e"], b["m"], F.lit(True).alias("seed"))),
                     F.transform(free, lambda t: F.struct(t["s"], t["e"], t["m"], F.lit(False).alias("seed"))))
     rows = marked.select("key", "text", F.explode(both).alias("x")).select(
         "key", F.col("x.s").alias("s"), F.col("x.e").alias("e"), F.col("x.m").alias("m"), F.col("x.seed").alias("seed"),
-        F.lower(F.expr(f"substring(text, greatest(x.s - {CONTEXT}, 0) + 1, least(x.s, {CONTEXT}))")).alias("left"),
-        F.lower(F.expr(f"substring(text, x.e + 1, {CONTEXT})")).alias("right"))
+        _words(f"substring(text, greatest(x.s - {NEAR}, 0) + 1, least(x.s, {NEAR}))", "substring(text, 1, x.s)",
+               f"x.s > {NEAR}", 3).alias("before"),
+        _words(f"substring(text, x.e + 1, {NEAR})", "substring(text, x.e + 1, length(text))",
+               f"length(text) > x.e + {NEAR}", 2).alias("behind"))
     # quotes and brackets around a token belong to its context, not to it
     lead = F.length(F.regexp_extract("m", r"^[\"'(\[{<=:;,]*", 0))
     rows = rows.withColumn("cut", F.when(F.col("seed"), F.col("m")).otherwise(F.regexp_replace("m", EDGES, "")))
     rows = rows.withColumn("s", F.when(F.col("seed"), F.col("s")).otherwise(F.col("s") + lead))
-    rows = rows.withColumn("e", F.col("s") + F.length("cut")).filter(F.col("cut").rlike("[0-9]"))
-    before = F.filter(F.split("left", r"\s+"), lambda w: w != "")
-    behind = F.filter(F.split("right", r"\s+"), lambda w: w != "")
+    rows = rows.withColumn("e", F.col("s") + F.length("cut")).filter(F.col("cut").rlike(f"[{SIGNS}]"))
+    before = F.col("before")
     rows = rows.withColumns({"l1": F.get(before, F.size(before) - 1), "l2": F.get(before, F.size(before) - 2),
-                             "r1": F.get(behind, F.lit(0))})
+                             "r1": F.get("behind", F.lit(0))})
     patterns = F.array(F.concat(F.lit("b "), "l2", F.lit(" "), "l1"), F.concat(F.lit("a "), "l1", F.lit(" _ "), "r1"))
     return rows.select("key", "s", "e", F.col("cut").alias("value"), "seed", F.array_compact(patterns).alias("patterns"))
 
 
-def trusted_patterns(candidates: DataFrame, rounds: int, support: int, confidence: float) -> DataFrame:
-    """(pattern) of those whose instances score ``confidence`` on average, with ``support`` scored instances or more."""
-    edges = written(candidates.select(F.explode("patterns").alias("pattern"), "value", "seed").groupBy(
+def _doubts(contexts: DataFrame, edges: DataFrame, scores: DataFrame, confidence: float) -> DataFrame:
+    """(value, doubt): the share of a value's contexts in which no pattern has a sure instance."""
+    sure = scores.filter(F.col("score") >= confidence).select("value")
+    known = edges.join(sure, "value", "left_semi").select("pattern").distinct().withColumn("known", F.lit(1))
+    opened = contexts.select("value", "patterns", F.explode("patterns").alias("pattern")).join(known, "pattern", "left")
+    supported = opened.groupBy("value", "patterns").agg(F.max("known").alias("known"))
+    return supported.groupBy("value").agg((1.0 - F.count("known") / F.count("*")).alias("doubt"))
+
+
+def trusted_patterns(candidates: DataFrame, rounds: int, support: int, confidence: float, doubt: float) -> tuple[DataFrame, DataFrame]:
+    """(pattern) of the last round's trusted ones, with ``support`` sure instances and a score of ``confidence`` or more,
+    and (value) of the instances with more than ``doubt``."""
+    if rounds < 1:
+        raise ValueError("at least one round")
+    contexts = written(candidates.groupBy("patterns", "value").agg(F.max("seed").alias("seed")), "pii-contexts")
+    edges = written(contexts.select(F.explode("patterns").alias("pattern"), "value", "seed").groupBy(
         "pattern", "value").agg(F.max("seed").alias("seed")), "pii-edges")
-    seeds = edges.groupBy("value").agg(F.max(F.col("seed").cast("double")).alias("score"))
-    scores = written(seeds, "pii-scores")
+    scores = written(edges.groupBy("value").agg(F.max(F.col("seed").cast("double")).alias("score")), "pii-scores")
     for number in range(rounds):
-        rated = edges.join(scores, "value").groupBy("pattern").agg(
-            F.avg("score").alias("mean"), F.sum((F.col("score") >= confidence).cast("long")).alias("known"))
-        rated = written(rated.filter((F.col("known") >= support) & (F.col("mean") >= confidence)), "pii-patterns")
-        if number == rounds - 1:
-            return rated.select("pattern")
-        reached = edges.join(rated, "pattern").groupBy("value").agg(F.max("mean").alias("reached"))
-        scores = written(scores.join(reached, "value", "left").select(
-            "value", F.greatest("score", F.coalesce("reached", F.lit(0.0))).alias("score")), "pii-scores")
-    raise ValueError("at least one round")
-
-
-def find_personal_data(docs: DataFrame, rounds: int = 3, support: int = 5, confidence: float = 0.8,
+        scored = written(scores.join(_doubts(contexts, edges, scores, confidence), "value"), "pii-doubts")
+        rated = edges.join(scored, "value").groupBy("pattern").agg(
+            F.sum("score").alias("pro"), F.sum((1.0 - F.col("score")) * F.col("doubt")).alias("contra"),
+            F.sum((F.col("score") >= confidence).cast("long")).alias("known"))
+        mean = F.try_divide(F.col("pro"), F.col("pro") + F.col("contra"))
+        rated = written(rated.withColumn("mean", mean).filter((F.col("known") >= support) & (F.col("mean") >= confidence)), "pii-patterns")
+        if number < rounds - 1:
+            reached = edges.join(rated, "pattern").groupBy("value").agg(F.max("mean").alias("reached"))
+            scores = written(scored.join(reached, "value", "left").select("value", F.when(
+                F.col("doubt") <= doubt, F.greatest("score", "reached")).otherwise(F.col("score")).alias("score")), "pii-scores")
+    return rated.select("pattern"), scored.filter((F.col("score") < 1) & (F.col("doubt") > doubt)).select("value")
+
+
+def find_personal_data(docs: DataFrame, rounds: int = 3, support: int = 5, confidence: float = 0.8, doubt: float = 0.5,
                        id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, key, base, spans) of every document; both arrays hold structs (s, o, e, kind, m) by start, then kind."""
     docs = docs.select(F.col(id_column).alias("_id"), whole_text(text_column).alias("text"))
     marked = docs.withColumns({"key": row_key("_id", "text"), "base": base_spans(F.col("text"))})
-    # most texts have neither an entity nor a digit; they need not be looked at again
-    candidates = written(_candidates(marked.filter(F.col("text").rlike("[0-9@]"))), "pii-candidates")
-    patterns = trusted_patterns(candidates, rounds, support, confidence)
+    # most texts hold no such sign; they need not be looked at again
+    candidates = written(_candidates(marked.filter(F.col("text").rlike(f"[{SIGNS}]"))), "pii-candidates")
+    patterns, doubtful = trusted_patterns(candidates, rounds, support, confidence, doubt)
     unseen = candidates.filter("not seed").select("key", "s", "e", "value", F.explode("patterns").alias("pattern"))
-    found = unseen.join(patterns, "pattern").select("key", "s", "e", "value").distinct().groupBy("key").agg(
+    found = unseen.join(patterns, "pattern").join(doubtful, "value", "left_anti").select("key", "s", "e", "value").distinct().groupBy("key").agg(
         F.collect_list(F.struct("s", F.lit(len(KINDS)).alias("o"), "e", F.lit(METHOD_KIND).alias("kind"),
                                 F.col("value").alias("m"))).alias("more"))
     marked = marked.select("_id", F.col("key").alias("k"), "base")
