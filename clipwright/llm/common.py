@@ -84,10 +84,11 @@ def text_slices(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[in
 def mixed(h: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every input bit over all output bits."""
     h = h ^ (h >> np.uint64(30))
-    h = h * np.uint64(0xBF58476D1CE4E5B9)
-    h = h ^ (h >> np.uint64(27))
-    h = h * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(27)
+    h *= np.uint64(0x94D049BB133111EB)
+    h ^= h >> np.uint64(31)
+    return h
 
 
 def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

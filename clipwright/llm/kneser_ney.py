@@ -41,8 +41,10 @@ from clipwright.session import scratch_path
 END, START = np.uint64(0x5BD1E995A5A5F00D), np.uint64(0x1F83D9AB5BE0CD19)
 #: Tokens of the corpus for each bigram shard, and words for each word shard.
 SHARD_TOKENS, SHARD_WORDS = 2_000_000, 500_000
-#: Pairs a task gathers before it makes them distinct.
+#: Pairs a task gathers before it makes them distinct, and half the words.
 GATHER = 2_500_000
+#: Shards sent on in one batch.
+SENT = 8
 LEAST_DISCOUNT = 0.1
 WORD_FIELDS = ["word", "count", "continuation", "total", "n1", "n2", "n3"]
 
@@ -84,6 +86,13 @@ def summed(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarr
     return ordered[at], order[at], totals
 
 
+def drained(arrays: list[np.ndarray]) -> np.ndarray:
+    """The arrays as one; the list is left empty, so that both are not held longer than needed."""
+    joined = np.concatenate(arrays)
+    arrays.clear()
+    return joined
+
+
 def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
     return ((hashes >> np.uint64(40)) * np.uint64(shards) >> np.uint64(24)).astype(np.int32)
 
@@ -163,40 +172,46 @@ def _count_words(batches):
             key, _, n = summed(tokens(data, offsets, hasher)[0])
             words.append(key)
             counts.append(n)
-            if sum(map(len, words)) > GATHER:
-                key, _, n = summed(np.concatenate(words), np.concatenate(counts))
+            if sum(map(len, words)) > GATHER // 2:
+                key, _, n = summed(drained(words), drained(counts))
                 words, counts = [key], [n]
-                if len(key) > GATHER // 2:
+                if len(key) > GATHER // 4:
                     yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], names=["word", "n"])
                     words, counts = [], []
     if words:
-        key, _, n = summed(np.concatenate(words), np.concatenate(counts))
+        key, _, n = summed(drained(words), drained(counts))
         for at in range(0, len(key), 1 << 18):
             yield pa.RecordBatch.from_arrays([pa.array(key[at: at + (1 << 18)].view(np.int64)), pa.array(n[at: at + (1 << 18)])],
                                              names=["word", "n"])
 
 
-def _packed(first, second, counts, heavy, shards):
-    """A row for each shard: first words once each with how many bigrams follow, second words, counts."""
-    keys = pair_key(first, second)
-    distinct, at, counts = summed(keys, counts)
+def _packed(first, second, heavy, shards):
+    """Batches with a row for each shard: first words once each with how many bigrams follow, second words, counts.
+
+    A task's memory is largest here, so arrays are let go as soon as they are used.
+    """
+    keys, at, counts = summed(pair_key(first, second))
     first, second = first[at], second[at]
-    shard = bigram_shard(first, distinct, heavy, shards)
+    shard = bigram_shard(first, keys, heavy, shards)
+    del keys, at
     order = np.lexsort((first, shard))
     first, second, counts, shard = first[order], second[order], counts[order], shard[order]
-    rows = {name: [] for name in ("shard", "first", "runs", "second", "n")}
+    del order
     edges = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1], [True]]))
-    for begin, end in zip(edges[:-1], edges[1:]):
-        own = first[begin:end]
-        starts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-        n = counts[begin:end]
-        rows["shard"].append(int(shard[begin]))
-        rows["first"].append(own[starts].tobytes())
-        rows["runs"].append(np.diff(np.append(starts, len(own))).astype(np.uint32).tobytes())
-        rows["second"].append(second[begin:end].tobytes())
-        rows["n"].append(n.astype(np.uint8 if n.max() < 256 else np.int64).tobytes())
-    return pa.RecordBatch.from_arrays([pa.array(rows["shard"], pa.int32()), *(pa.array(rows[x], pa.binary()) for x in list(rows)[1:])],
-                                      names=list(rows))
+    for some in range(0, len(edges) - 1, SENT):
+        rows = {name: [] for name in ("shard", "first", "runs", "second", "n")}
+        bounds = edges[some: some + SENT + 1]
+        for begin, end in zip(bounds[:-1], bounds[1:]):
+            own = first[begin:end]
+            starts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+            n = counts[begin:end]
+            rows["shard"].append(int(shard[begin]))
+            rows["first"].append(own[starts].tobytes())
+            rows["runs"].append(np.diff(np.append(starts, len(own))).astype(np.uint32).tobytes())
+            rows["second"].append(second[begin:end].tobytes())
+            rows["n"].append(n.astype(np.uint8 if n.max() < 256 else np.int64).tobytes())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(rows["shard"], pa.int32()), *(pa.array(rows[x], pa.binary()) for x in list(rows)[1:])], names=list(rows))
 
 
 def _count_bigrams(heavy: np.ndarray, shards: int):
@@ -208,13 +223,12 @@ def _count_bigrams(heavy: np.ndarray, shards: int):
                 first.append(before)
                 second.append(word)
                 size += len(word)
+                del word, before
                 if size > GATHER:
-                    all_first, all_second = np.concatenate(first), np.concatenate(second)
-                    yield _packed(all_first, all_second, np.ones(len(all_first), np.int64), heavy, shards)
-                    first, second, size = [], [], 0
+                    yield from _packed(drained(first), drained(second), heavy, shards)
+                    size = 0
         if size:
-            all_first, all_second = np.concatenate(first), np.concatenate(second)
-            yield _packed(all_first, all_second, np.ones(len(all_first), np.int64), heavy, shards)
+            yield from _packed(drained(first), drained(second), heavy, shards)
 
     return run
 
@@ -227,7 +241,7 @@ def _unpacked(rows: pd.DataFrame):
         first.append(np.repeat(np.frombuffer(row.first, np.uint64), np.frombuffer(row.runs, np.uint32)))
         second.append(words)
         counts.append(n.astype(np.int64))
-    return np.concatenate(first), np.concatenate(second), np.concatenate(counts)
+    return drained(first), drained(second), drained(counts)
 
 
 def _merge_bigrams(folder: str):
@@ -237,9 +251,12 @@ def _merge_bigrams(folder: str):
         keys, at, n = summed(pair_key(first, second), n)
         first, second = first[at], second[at]
         put(folder, f"bigrams-{int(rows['shard'].iloc[0]):07d}", [np.array([len(keys)]), keys, n.astype(np.uint16 if n.max() < 1 << 16 else np.int64)])
-        u, _, total = summed(first, n)
-        stats = [summed(first, (n == 1).astype(np.int64))[2], summed(first, (n == 2).astype(np.int64))[2],
-                 summed(first, (n > 2).astype(np.int64))[2]]
+        del keys, at
+        order = np.argsort(first)
+        first, own_n = first[order], n[order]
+        at = np.flatnonzero(np.concatenate([[True], first[1:] != first[:-1]]))
+        u, (total, *stats) = first[at], [np.add.reduceat(x, at, dtype=np.int64) for x in (own_n, own_n == 1, own_n == 2, own_n > 2)]
+        del first, own_n, order
         w, _, continuation = summed(second)
         zero = lambda k: np.zeros(k, np.int64)
         own = pd.DataFrame({"word": u.view(np.int64), "continuation": zero(len(u)), "total": total,

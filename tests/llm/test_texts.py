@@ -413,3 +413,27 @@ def test_language_model_of_awkward_rows(spark, awkward):
     empty = kneser_ney.fit(awkward.limit(0))
     assert {(r.score, r.base_score, r.n_known) for r in kneser_ney.score(awkward, empty, ["doc_id"]).collect()} == {(0.0, 0.0, 0)}
     assert kneser_ney.score(awkward.limit(0), model, ["doc_id"]).count() == 0
+
+
+def test_counting_holds_little_more_than_what_it_gathers(monkeypatch):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    monkeypatch.setattr(kneser_ney, "GATHER", 500_000)
+    random = np.random.default_rng(4)
+    texts = [" ".join(map(str, random.integers(0, 1000, 20_000))) for _ in range(60)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([t])], names=["text"]) for t in texts]
+    count = kneser_ney._count_bigrams(np.array([kneser_ney.START]), 50)
+    list(count(batches[:1]))
+    tracemalloc.start()
+    pairs = 0
+    for batch in count(batches):
+        assert batch.num_rows <= 8
+        pairs += sum(np.frombuffer(n, np.uint8 if len(n) * 8 == len(w) else np.int64).sum()
+                     for n, w in zip(batch.column("n").to_pylist(), batch.column("second").to_pylist()))
+        del batch
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert pairs == 60 * 20_001
+    assert peak < 80 * 500_000          # a gathered pair takes 16 bytes
