@@ -46,6 +46,31 @@ def _bytes(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+#: Marks that are no part of a word's letters; an apostrophe may begin a piece with letters.
+MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Letters below this are composed already and become lower case one by one, but for the dotted I.
+PLAIN, DOTTED = "\u0180", "\u0130"
+
+
+def _byte_characters() -> dict[int, str]:
+    """For each character below ``PLAIN`` the characters by which a byte-level model knows its bytes."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    names = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(sorted({*range(256)} - {*shown}))}
+    return {c: "".join(names[b] for b in chr(c).encode()) for c in range(ord(PLAIN))}
+
+
+class Generation(dict):
+    """Ids by word; a word that is not there is asked of ``learn``."""
+
+    def __init__(self, learn):
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self[word] = self.learn(word)
+        return ids
+
+
 class WordIds:
     """Token ids of texts, from the ids of their words.
 
@@ -60,15 +85,20 @@ class WordIds:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t["content"] for t in json.loads(content)["added_tokens"]]
-        self.kept: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
-
-    def _letters(self, word: bytes) -> bytes:
-        """Ids of ASCII letters: normalisation only lowers them, and they are one piece for the model."""
-        low = word.lower()
+        self.model, self.characters = self.tokenizer.model, _byte_characters()
+        self.kept, self.older = Generation(self.learn), {}
+
+    def _letters(self, word: bytes) -> bytes | None:
+        """Ids of letters: normalisation only lowers them, and they are one piece for the model.  None for other words."""
+        low, text = word.lower(), None
+        if not low.isalpha():                                       # not ASCII letters alone
+            text = low.decode()
+            if not text.isalpha() or max(text) >= PLAIN or DOTTED in text:
+                return None
         known = self.kept.get(low) or self.older.get(low)
         if known is None:
-            known = self.kept[low] = _bytes([t.id for t in self.tokenizer.model.tokenize(low.decode())])
+            shown = text.lower().translate(self.characters) if text else low.decode()
+            known = self.kept[low] = _bytes([t.id for t in self.model.tokenize(shown)])
         return known
 
     def _any(self, word: bytes) -> bytes:
@@ -78,38 +108,26 @@ class WordIds:
             ids = parts.encode(text, add_special_tokens=False).ids
         else:
             pieces = parts.pre_tokenizer.pre_tokenize_str(parts.normalizer.normalize_str(text))
-            ids = [t.id for piece, _ in pieces for t in parts.model.tokenize(piece)]
+            ids = [t.id for piece, _ in pieces for t in self.model.tokenize(piece)]
         return _bytes(ids)
 
     def learn(self, word: bytes) -> bytes:
         ids = self.older.get(word)
         if ids is None:
-            if word.isalpha():
-                ids = self._letters(word)
-            elif word[-1:] in b".,;:!?" and word[:-1].isalpha():    # a mark after letters is a piece of its own
-                ids = self._letters(word[:-1]) + (self.kept.get(word[-1:]) or self.learn(word[-1:]))
-            else:
+            stem = word.rstrip(MARKS)
+            ids = self._letters(stem) if stem else None
+            if ids is None:
                 ids = self._any(word)
-        self.kept[word] = ids
+            elif len(stem) < len(word):     # marks after letters are a piece of their own
+                ids += self.kept[word[len(stem):]]
         return ids
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each text.  ASCII white space alone divides words here."""
-        split = [t.split() for t in texts]
-        found = [list(map(self.kept.get, words)) for words in split]
-        for words, ids in zip(split, found):
-            at = -1
-            try:
-                while True:
-                    at = ids.index(None, at + 1)
-                    word = words[at]
-                    known = self.kept.get(word)
-                    ids[at] = known if known is not None else self.learn(word)
-            except ValueError:      # no word is missing any more
-                pass
+        found = [b"".join(map(self.kept.__getitem__, text.split())) for text in texts]
         if len(self.kept) > KEPT_WORDS:
-            self.older, self.kept = self.kept, {}
-        return [b"".join(ids) for ids in found]
+            self.older, self.kept = self.kept, Generation(self.learn)
+        return found
 
 
 _encoders: dict[str, WordIds] = {}

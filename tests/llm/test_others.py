@@ -226,3 +226,25 @@ def test_a_worker_that_forgets_words_gives_the_same_ids(monkeypatch):
     monkeypatch.setattr(packing, "KEPT_WORDS", 2)
     small = packing.WordIds(content)
     assert [small([t])[0] for t in texts] == expected == small(texts)
+
+
+def test_latin_words_and_marks_skip_the_tokenizer_s_parts(monkeypatch):
+    import public_tokenizers
+    from clipwright.llm import packing
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    letters = [c for c in map(chr, range(0x180)) if c.isalpha()]
+    words = [*letters, *(f"a{c}b" for c in letters), *(f"{c}{c}###" for c in letters), "Été.,&&&", "Straße", "x<|", "ab-_", "A_b"]
+    marks = ["!", "###", ".,&&&", "-_", "<|"]
+    encode = packing.WordIds(open(path, encoding="utf-8").read())
+    got = encode([w.encode() for w in [*words, *marks]])
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [library.encode(w, add_special_tokens=False).ids for w in [*words, *marks]]
+    apart = "' '| \u0301 \u0301< 1 1! \u00b2 \u00b2."        # a kept word that is no letters says nothing of the longer one
+    assert np.frombuffer(encode([apart.encode()])[0], "<u4").tolist() == library.encode(apart, add_special_tokens=False).ids
+    asked, ask = [], encode._any
+    monkeypatch.setattr(encode, "_any", lambda word: asked.append(word) or ask(word))
+    encode([f"q{w}".encode() for w in words])
+    # the dotted I becomes two characters, a mark may stand between letters
+    assert {w.decode() for w in asked} == {"qİ", "qaİb", "qİİ###", "qA_b"}
