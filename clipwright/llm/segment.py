@@ -42,6 +42,8 @@ BLOCK_CHARS = 400_000
 KEPT_CHARS = 700_000
 _BASE = 0x9E3779B97F4A7C15
 _BACK = pow(_BASE, -1, 1 << 64)
+#: Brings short pieces' fingerprints, which are small, to all places of the table.
+_SPREAD = np.uint64(0xD6E8FEB86659FD93)
 
 
 def _pair(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -59,24 +61,28 @@ class Vocabulary:
         size = model.get_piece_size()
         self.pieces = [model.id_to_piece(i) for i in range(size)]
         plain = [i for i in range(size) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
-        joined = [np.array([ord(c) for c in self.pieces[i]], np.uint32) for i in plain]
+        codes = np.frombuffer("".join(self.pieces[i] for i in plain).encode("utf-32-le"), np.uint32)
+        sizes = np.array([len(self.pieces[i]) for i in plain])
+        begins = np.cumsum(sizes) - sizes
+        place = np.arange(len(codes)) - np.repeat(begins, sizes)
+        later = np.flatnonzero(place)
         self.neighbours = np.zeros(1 << 20, bool)
-        for codes in joined:
-            self.neighbours[_pair(codes[:-1], codes[1:])] = True
+        self.neighbours[_pair(codes[later - 1], codes[later])] = True
         self.bytes = {int(self.pieces[i][3:5], 16): i for i in range(size) if model.is_byte(i)}
         rank = np.array([-model.get_score(i) for i in plain])
         weight = -np.log1p(np.maximum(rank, 0)) * sharpness
         self.byte_weight = -np.log1p(size) * sharpness
-        self.longest = max(len(self.pieces[i]) for i in plain)
+        self.longest = int(sizes.max())
         self.powers = np.multiply.accumulate(np.array([1, *[_BASE] * self.longest], np.uint64))
-        keys = np.array([self._key(codes) for codes in joined], np.uint64)
+        keys = np.add.reduceat((codes.astype(np.uint64) + np.uint64(1)) * self.powers[place], begins) * _SPREAD
         order = np.argsort(keys)
         self.keys, self.ids, self.weights = keys[order], np.array(plain, np.int32)[order], weight[order]
+        # keys that share their first 20 bits stand side by side: where they begin, and how many there are at most
+        slots = (self.keys >> np.uint64(44)).astype(np.int64)
         self.mask = np.zeros(1 << 20, bool)
-        self.mask[(self.keys >> np.uint64(44)).astype(np.int64)] = True
-
-    def _key(self, codes: np.ndarray) -> np.uint64:
-        return ((codes.astype(np.uint64) + np.uint64(1)) * self.powers[: len(codes)]).sum(dtype=np.uint64)
+        self.mask[slots] = True
+        self.begin = np.searchsorted(slots, np.arange(1 << 20)).astype(np.int32)
+        self.most = int(np.bincount(slots).max())
 
     def cuts(self, codes: np.ndarray) -> np.ndarray:
         """Whether a border stands before each character but the first (never where a piece may cross)."""
@@ -85,10 +91,14 @@ class Vocabulary:
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Place of each key in the vocabulary, -1 if it is none."""
         out = np.full(len(keys), -1, np.int64)
-        likely = np.flatnonzero(self.mask[(keys >> np.uint64(44)).astype(np.int64)])
-        at = np.minimum(np.searchsorted(self.keys, keys[likely]), len(self.keys) - 1)
-        hit = self.keys[at] == keys[likely]
-        out[likely[hit]] = at[hit]
+        keys = keys * _SPREAD
+        slots = (keys >> np.uint64(44)).astype(np.int64)
+        likely = np.flatnonzero(self.mask[slots])
+        at = self.begin[slots[likely]]
+        for _ in range(self.most):
+            hit = self.keys[at] == keys[likely]
+            out[likely[hit]] = at[hit]
+            likely, at = likely[~hit], np.minimum(at[~hit] + 1, len(self.keys) - 1)
         return out
 
 
@@ -130,14 +140,15 @@ def build_lattice(codes: np.ndarray, sizes: np.ndarray, vocabulary: Vocabulary)
     n_bytes = 1 + (codes[lone] > 0x7F) + (codes[lone] > 0x7FF) + (codes[lone] > 0xFFFF)
     weight = np.concatenate([vocabulary.weights[at], n_bytes * vocabulary.byte_weight])
     piece = np.concatenate([vocabulary.ids[at], -1 - codes[lone].astype(np.int64)])
-    order = np.lexsort((-length, place))
+    order = np.argsort(place * (vocabulary.longest + 1) - length)
     place, length, weight, piece = place[order], length[order], weight[order], piece[order]
     first_edge = np.searchsorted(place, np.arange(n + 1))
 
     # sums over completions, all units together, from their last characters to their first
     total = np.zeros(n + 1)
-    by_left = np.argsort(left[place], kind="stable")
-    bounds = np.searchsorted(left[place][by_left], np.arange(1, left.max(initial=0) + 2))
+    behind = (left.astype(np.uint16) if left.max() < 1 << 16 else left)[place]      # short numbers are sorted by radix
+    by_left = np.argsort(behind, kind="stable")
+    bounds = np.concatenate([[0], np.cumsum(np.bincount(behind)[1:])])
     log_step = np.zeros(len(place))
     for b, e in zip(bounds[:-1], bounds[1:]):
         own = by_left[b:e]
@@ -238,12 +249,10 @@ def _counted(keys: np.ndarray, offsets: np.ndarray):
     return uniform
 
 
-def _truncated(location, bound, random):
-    """Gumbel values with these locations, given that none exceeds the bound; -inf where nothing is left."""
-    location = np.asarray(location, float)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        drawn = -np.logaddexp(-bound, np.log(random.standard_exponential(location.shape)) - location)
-    return np.where(location > -np.inf, drawn, -np.inf)
+def _truncated(location: float, bound: float, random) -> float:
+    """A Gumbel value with this location, given that it does not exceed the bound; -inf where nothing is left."""
+    drawn = random.standard_exponential()
+    return -float(np.logaddexp(-bound, np.log(drawn) - location)) if location > -np.inf else -np.inf
 
 
 def _remaining(log_taken):
@@ -252,48 +261,55 @@ def _remaining(log_taken):
         return np.log(np.maximum(-np.expm1(log_taken), 0.0))
 
 
-def sample_paths(lattice: Lattice, starts: np.ndarray, stops: np.ndarray, first, k: int, random):
+def sample_paths(lattice: Lattice, starts: np.ndarray, first, k: int, random):
     """At most ``k`` distinct paths [(edges, log p, perturbed score)], best first, and the threshold left.
 
-    ``first`` is a drawn path: the one that attains the bound of the whole lattice.
+    ``first`` is a drawn path: the one that attains the bound of the whole lattice.  What else is to be drawn is asked
+    for: (unit, node) stands for a path from this node of the unit to the end of the last, and (edges, units) is sent.
     """
-    uniform = lambda units, nodes: random.random(len(units))
-    bound = -np.log(random.standard_exponential())
+    bound = -float(np.log(random.standard_exponential()))
     found = []
 
     def add(edges, words, score, shared):
         """A path whose first ``shared`` steps belong to the sets of the path it left."""
         steps = lattice.log_step[edges]
         before = np.concatenate([[0.0], np.cumsum(steps)])
-        bounds = np.full(len(edges), -np.inf)
-        bounds[shared:] = _truncated(before[shared:-1] + _remaining(steps[shared:]), score, random)
-        found.append({"edges": edges, "words": words, "before": before, "score": score, "bounds": bounds, "taken": {}})
+        # the bounds are Gumbel values truncated at the score; they fall with these numbers, so only the best is worked out
+        far = np.full(len(edges), np.inf)
+        far[shared:] = np.log(random.standard_exponential(len(edges) - shared)) - (before[shared:-1] + _remaining(steps[shared:]))
+        found.append({"edges": edges, "words": words, "before": before, "score": score, "far": far, "taken": {}, "opened": {}})
+
+    def best_set(path):
+        """(bound, step) of the set with the highest bound."""
+        best = max(((b, t) for t, b in path["opened"].items()), default=(-np.inf, -1))
+        if len(path["far"]):
+            t = int(np.argmin(path["far"]))
+            if path["far"][t] < np.inf:
+                best = max(best, (-float(np.logaddexp(-path["score"], path["far"][t])), t))
+        return best
 
     add(*first, bound, 0)
     while True:
-        tops = [(p["bounds"].max() if len(p["bounds"]) else -np.inf) for p in found]
-        best = int(np.argmax(tops))
-        if len(found) == k or tops[best] == -np.inf:
-            return [(p["edges"], float(p["before"][-1]), float(p["score"])) for p in found], float(tops[best])
+        tops = [best_set(p) for p in found]
+        best = max(range(len(tops)), key=lambda i: tops[i][0])
+        score, t = tops[best]
+        if len(found) == k or score == -np.inf:
+            return [(p["edges"], float(p["before"][-1]), p["score"]) for p in found], score
         path = found[best]
-        t, score = int(np.argmax(path["bounds"])), tops[best]
         edge, word = int(path["edges"][t]), int(path["words"][t])
         begin = int(np.searchsorted(path["words"], word))
         node = int(starts[word]) + int(lattice.length[path["edges"][begin:t]].sum(dtype=np.int64))
         taken = path["taken"].setdefault(t, [edge])
-        free = np.setdiff1d(np.arange(lattice.first_edge[node], lattice.first_edge[node + 1]), taken)
+        free = np.array([e for e in range(lattice.first_edge[node], lattice.first_edge[node + 1]) if e not in taken])
         odds = np.exp(lattice.log_step[free] - lattice.log_step[free].max())
         chosen = int(free[min(np.searchsorted(np.cumsum(odds), random.random() * odds.sum(), "right"), len(free) - 1)])
         taken.append(chosen)
-        rest = lattice.log_step[np.setdiff1d(free, [chosen])]
-        location = path["before"][t] + (np.logaddexp.reduce(rest) if len(rest) else -np.inf)
-        path["bounds"][t] = _truncated(location, score, random)
+        rest = lattice.log_step[free[free != chosen]]
+        location = float(path["before"][t] + (np.logaddexp.reduce(rest) if len(rest) else -np.inf))
+        path["far"][t], path["opened"][t] = np.inf, _truncated(location, score, random)
         # the new path keeps what stands before the step and draws what follows
-        next_starts, next_stops = starts[word:].copy(), stops[word:]
-        next_starts[0] = node + int(lattice.length[chosen])
-        edges, words = _draw(lattice, next_starts, next_stops, uniform)
-        add(np.concatenate([path["edges"][:t], [chosen], edges]), np.concatenate([path["words"][:t], [word], words + word]),
-            score, t + 1)
+        edges, words = yield word, node + int(lattice.length[chosen])
+        add(np.concatenate([path["edges"][:t], [chosen], edges]), np.concatenate([path["words"][:t], [word], words]), score, t + 1)
 
 
 def piece_ids(lattice: Lattice, edges: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
@@ -349,17 +365,40 @@ def segment_block(texts: list[str], keys: list[int], k: int, seed: int, kept: Un
         stops = kept.bounds[numbers + 1][units_of]
     lattice = kept.lattice
 
-    # the first path of every text at once; a unit's numbers depend on its own text and place only
+    # paths of all texts are drawn at once; a unit's numbers depend on its row's key, its place and the round alone
     salted = mixed(np.array([key & (1 << 64) - 1 for key in keys], np.uint64) + np.uint64(seed))
     text_of = np.repeat(np.arange(len(texts)), np.diff(first))
-    uniform = _counted(salted[text_of], at[:-1][: len(starts)] - edges[text_of] - starts)
-    path, unit = _draw(lattice, starts, stops, uniform)
+    places = at[:-1][: len(starts)] - edges[text_of] - starts
+    path, unit = _draw(lattice, starts, stops, _counted(salted[text_of], places))
     cut = np.searchsorted(unit, first)
+    searches, found, asked = [], [[]] * len(texts), []
+
+    def go_on(i, drawn=None):
+        try:
+            asked.append((i, *searches[i].send(drawn)))
+        except StopIteration as end:
+            found[i] = end.value
+
     for i, key in enumerate(keys):
         b, e = first[i], first[i + 1]
         random = np.random.Generator(np.random.Philox(key=[key & (1 << 64) - 1, seed]))
         own = path[cut[i]: cut[i + 1]], unit[cut[i]: cut[i + 1]] - b
-        paths, threshold = sample_paths(lattice, starts[b:e], stops[b:e], own, k, random)
+        searches.append(sample_paths(lattice, starts[b:e], own, k, random))
+        go_on(i)
+    while asked:
+        salted = salted + np.uint64(_BASE)
+        which, word, node = (np.array(x, np.int64) for x in zip(*asked))
+        asked.clear()
+        begin, end = first[which] + word, first[which + 1]
+        upto = np.cumsum(end - begin)
+        own = np.repeat(end - upto, end - begin) + np.arange(upto[-1])          # the units from there on, all texts
+        from_ = starts[own]
+        from_[upto - (end - begin)] = node
+        path, unit = _draw(lattice, from_, stops[own], _counted(salted[text_of[own]], places[own]))
+        cut = np.searchsorted(unit, np.concatenate([[0], upto]))
+        for j, i in enumerate(which.tolist()):
+            go_on(i, (path[cut[j]: cut[j + 1]], own[unit[cut[j]: cut[j + 1]]] - first[i]))
+    for paths, threshold in found:
         with np.errstate(over="ignore"):
             yield [(piece_ids(lattice, edges_, vocabulary), log_p, score, float(-np.expm1(-np.exp(log_p - threshold))))
                    for edges_, log_p, score in paths]

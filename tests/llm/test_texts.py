@@ -358,6 +358,22 @@ def test_samples_decode_to_their_text(spark, awkward, documents):
     assert segment.encode_samples(awkward.limit(0), path).count() == 0
 
 
+def test_paths_of_a_block_are_drawn_together(vocabulary, monkeypatch):
+    draws, draw = [], segment._draw
+    monkeypatch.setattr(segment, "_draw", lambda *a: draws.append(len(a[1])) or draw(*a))
+    texts = ["the cat sat", "", "one two three four", "a", "\u00e9t\u00e9 \u4e2d", "the cat sat"]
+    kept = segment.Units(vocabulary)
+    together = [[(p[0].tolist(), *p[1:]) for p in paths] for paths in segment.segment_block(texts, list(range(6)), 3, 5, kept)]
+    assert len(draws) == 3                                       # one for each path, whatever the number of texts
+    alone = [[(p[0].tolist(), *p[1:]) for p in next(segment.segment_block([t], [i], 3, 5, kept))] for i, t in enumerate(texts)]
+    assert together == alone and together[0] != together[5]
+    for text, paths in zip(texts, together):
+        reference = all_segmentations(text, vocabulary) if text else {(): 0.0}
+        assert len({tuple(p[0]) for p in paths}) == min(3, len(reference))
+        assert all(p[1] == pytest.approx(reference[tuple(p[0])], abs=1e-9) for p in paths)
+        assert [p[2] for p in paths] == sorted((p[2] for p in paths), reverse=True)
+
+
 # ------------------------------------------------------------------ language model
 
 def brute_model(training):
