@@ -59,6 +59,21 @@ def held_out(id_column: str, remainder: int, folds: int = 5) -> Column:
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")) % folds == remainder
 
 
+# ---------------------------------------------------------------- words of byte-level tokenizers
+
+#: Marks that are no part of a word's letters; an apostrophe may begin a piece with letters.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Letters below this are composed already and become lower case one by one, but for the dotted I.
+PLAIN, DOTTED = "\u0180", "\u0130"
+
+
+def byte_characters() -> dict[int, str]:
+    """For each character below ``PLAIN`` the characters by which a byte-level model knows its bytes."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    names = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(sorted({*range(256)} - {*shown}))}
+    return {c: "".join(names[b] for b in chr(c).encode()) for c in range(ord(PLAIN))}
+
+
 # ---------------------------------------------------------------- kernels on Arrow text
 
 def text_slices(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipwright.llm.common import whole_text, written
+from clipwright.llm.common import DOTTED, MARKS, PLAIN, byte_characters, whole_text, written
 
 #: Tokens a sequence holds, and the id that ends every document.
 CAPACITY, END = 4096, 1
@@ -46,19 +46,6 @@ def _bytes(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-#: Marks that are no part of a word's letters; an apostrophe may begin a piece with letters.
-MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-#: Letters below this are composed already and become lower case one by one, but for the dotted I.
-PLAIN, DOTTED = "\u0180", "\u0130"
-
-
-def _byte_characters() -> dict[int, str]:
-    """For each character below ``PLAIN`` the characters by which a byte-level model knows its bytes."""
-    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
-    names = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(sorted({*range(256)} - {*shown}))}
-    return {c: "".join(names[b] for b in chr(c).encode()) for c in range(ord(PLAIN))}
-
-
 class Generation(dict):
     """Ids by word; a word that is not there is asked of ``learn``."""
 
@@ -85,7 +72,7 @@ class WordIds:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t["content"] for t in json.loads(content)["added_tokens"]]
-        self.model, self.characters = self.tokenizer.model, _byte_characters()
+        self.model, self.characters = self.tokenizer.model, byte_characters()
         self.kept, self.older = Generation(self.learn), {}
 
     def _letters(self, word: bytes) -> bytes | None:
@@ -114,7 +101,7 @@ class WordIds:
     def learn(self, word: bytes) -> bytes:
         ids = self.older.get(word)
         if ids is None:
-            stem = word.rstrip(MARKS)
+            stem = word.rstrip(MARKS.encode())
             ids = self._letters(stem) if stem else None
             if ids is None:
                 ids = self._any(word)

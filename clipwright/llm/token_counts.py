@@ -4,6 +4,9 @@ A text is known by the SHA-256 of its normalised content and a tokenizer by the
 and library version.  Digests are joined to the stored counts; of the digests without one, one text each is
 encoded, and the new counts are appended to the cache.  Every document then takes its count from the cache.
 
+A byte-level tokenizer takes a text in parts that end before a single blank or beside a single line end, so a task
+encodes each distinct word once and adds up; texts with other white space at such borders are encoded whole.
+
 Normalisation must not change a count, so it only makes a null text the empty one.  Texts travel through one
 shuffle, keyed by digest and document, so a text that a third of all rows share is spread like any other.
 
@@ -14,19 +17,22 @@ an empty table gives an empty result; other columns of the input are ignored and
 from __future__ import annotations
 
 import hashlib
+import json
+import os
 import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipwright.llm.common import exists, whole_text
+from clipwright.llm.common import MARKS, PLAIN, byte_characters, exists, whole_text
 
 CACHE_SCHEMA = "digest binary, n_tokens long, tokenizer string, batch string"
-#: Texts encoded by one call of the library.
-BATCH = 32
+#: Whole texts encoded by one call of the library, and texts taken up together.
+BATCH, READ = 32, 256
 
-_encoders: dict = {}
+#: Words whose counts a task keeps; beyond it starts anew.
+KEPT_WORDS = 1 << 20
 
 
 def tokenizer_version(content: str) -> str:
@@ -37,29 +43,98 @@ def tokenizer_version(content: str) -> str:
     return hashlib.sha256(said.encode()).hexdigest()
 
 
-def _encoder(version: str, content: str):
-    """The tokenizer, built once in each Python worker."""
-    if version not in _encoders:
-        import os
+def divides(content: str) -> bool:
+    """Whether a tokenizer takes a text in parts that end before a blank and what follows it.
+
+    That is how the byte-level pattern matches, if nothing is changed before it and no added token looks further.
+    """
+    said = json.loads(content)
+    first, added = said.get("pre_tokenizer") or {}, said.get("added_tokens") or []
+    return (said.get("normalizer") is None and said["model"].get("type") == "BPE" and first.get("type") == "ByteLevel"
+            and first.get("use_regex", True) and not first["add_prefix_space"]
+            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["content"].split() != [t["content"]] for t in added))
+
+
+class Whole(Exception):
+    """A text is to be counted as a whole."""
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
 
-        made = Tokenizer.from_str(content)
-        made.no_truncation()
-        made.no_padding()
-        _encoders[version] = made
-    return _encoders[version]
+class Counts(dict):
+    """Tokens by word, the word led by ``lead``; a word that is not there is asked of ``learn``."""
 
+    def __init__(self, learn, lead: str):
+        super().__init__()
+        self.learn, self.lead = learn, lead
+
+    def __missing__(self, word: str) -> int:
+        count = self[word] = self.learn(word, self.lead)
+        return count
+
+
+class Counter:
+    """Token counts of texts; the library sees a distinct word once where a text divides at single blanks and line ends."""
+
+    def __init__(self, content: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
 
-def _encode(version, content):
+        self.tokenizer = Tokenizer.from_str(content)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.model, self.characters, self.divides = self.tokenizer.model, byte_characters(), divides(content)
+        self.special = [t["content"] for t in json.loads(content).get("added_tokens") or []]
+        self.forget()
+
+    def forget(self) -> None:
+        self.bare, self.led = Counts(self.learn, ""), Counts(self.learn, " ")
+
+    def _encoded(self, text: str) -> int:
+        return len(self.tokenizer.encode(text, add_special_tokens=False))
+
+    def learn(self, word: str, lead: str) -> int:
+        if not word or word != word.strip():        # more white space at the border: its parts are found in the whole text
+            raise Whole
+        stem = word.rstrip(MARKS)
+        # letters are one part with the blank before them, marks after them another
+        if not stem.isalpha() or max(stem) >= PLAIN or any(mark in word for mark in self.special):
+            return self._encoded(lead + word)
+        if len(stem) < len(word):
+            return (self.led if lead else self.bare)[stem] + self.bare[word[len(stem):]]
+        return len(self.model.tokenize((lead + word).translate(self.characters)))
+
+    def _divided(self, text: str) -> int:
+        count = -1                                  # a line end between lines is a token
+        for line in text.split("\n"):
+            words = line.split(" ")
+            count += 1 + self.bare[words[0]] + sum(map(self.led.__getitem__, words[1:]))
+        return count
+
+    def __call__(self, texts: list[str]) -> list[int]:
+        counts, whole = [0] * len(texts), []
+        for i, text in enumerate(texts):
+            try:
+                if not self.divides:
+                    raise Whole
+                counts[i] = self._divided(text) if text else 0
+            except Whole:
+                whole.append(i)
+        for at in range(0, len(whole), BATCH):
+            own = whole[at: at + BATCH]
+            found = self.tokenizer.encode_batch_fast([texts[i] for i in own], add_special_tokens=False)
+            for i, tokens in zip(own, found):
+                counts[i] = len(tokens)
+        if len(self.bare) + len(self.led) > KEPT_WORDS:
+            self.forget()
+        return counts
+
+
+def _encode(content):
     def run(batches):
-        encoder = _encoder(version, content.value)
+        count = Counter(content.value)
         for batch in batches:
-            texts, counts = batch.column("text").to_pylist(), []
-            for at in range(0, len(texts), BATCH):
-                found = encoder.encode_batch_fast(texts[at: at + BATCH], add_special_tokens=False)
-                counts.extend(map(len, found))
+            counts = []
+            for at in range(0, batch.num_rows, READ):
+                counts += count(batch.column("text").slice(at, READ).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(counts, pa.int64())],
                                              names=["digest", "n_tokens"])
 
@@ -97,7 +172,7 @@ def count_tokens(docs: DataFrame, tokenizer_file: str, cache: str, id_column: st
     distinct = keyed.groupBy("digest").agg(F.min("key").alias("key"))
     misses = distinct.join(_stored(spark, cache, version).select("digest"), "digest", "left_anti")
     chosen = keyed.dropDuplicates(["digest", "key"]).join(misses, ["digest", "key"]).select("digest", "text")
-    fresh = chosen.mapInArrow(_encode(version, shared), "digest binary, n_tokens long")
+    fresh = chosen.mapInArrow(_encode(shared), "digest binary, n_tokens long")
     fresh.write.parquet(f"{cache.rstrip('/')}/tokenizer={version}/batch={uuid.uuid4().hex}")
 
     sizes = docs.select(F.col(id_column).alias(id_column), F.octet_length(text).cast("long").alias("n_bytes"),

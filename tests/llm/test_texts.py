@@ -48,6 +48,29 @@ def test_token_counts_are_the_library_s_and_cached(spark, awkward):
     assert count_tokens(awkward.limit(0), path, scratch_path(spark, "cache")).count() == 0
 
 
+def test_a_task_encodes_a_word_once(monkeypatch):
+    from clipwright.llm import token_counts
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    texts = ["it's we'll CAN'T x.", "a b\nc d", "\u00c9t\u00e9 Stra\u00dfe###", "a<|endoftext|> b <|endoftext|>", "x1 ,. 1! '|", "", "A_b A_b"]
+    apart = [" a", "a  b", "a \n b", "a\n\nb", "a ", "\na", "a\n", "a \u3000b", "a\tb \tc", "a \x1c b", "\u00a0 a"]
+    with open(path, encoding="utf-8") as file:
+        count = token_counts.Counter(file.read())
+    for _ in range(2):
+        assert count(texts + apart) == [len(library.encode(t, add_special_tokens=False)) for t in texts + apart]
+    asked, learn = [], count.learn
+    monkeypatch.setattr(count.bare, "learn", lambda word, lead: asked.append(word) or learn(word, lead))
+    monkeypatch.setattr(count.led, "learn", lambda word, lead: asked.append(word) or learn(word, lead))
+    count(texts * 3)
+    assert not asked
+    count(["a new new, word", "a word, new"])
+    assert sorted(asked) == [",", "new", "new,", "word", "word,"]
+    monkeypatch.setattr(token_counts, "KEPT_WORDS", 2)
+    assert [count([t])[0] for t in texts] == count(texts)
+
+
 # ------------------------------------------------------------------ simhash
 
 def brute_fingerprint(text, width=4):
