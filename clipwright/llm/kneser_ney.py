@@ -42,7 +42,7 @@ END, START = np.uint64(0x5BD1E995A5A5F00D), np.uint64(0x1F83D9AB5BE0CD19)
 #: Tokens of the corpus for each bigram shard, and words for each word shard.
 SHARD_TOKENS, SHARD_WORDS = 2_000_000, 500_000
 #: Pairs a task gathers before it makes them distinct, and half the words.
-GATHER = 2_500_000
+GATHER = 1_500_000
 #: Shards sent on in one batch.
 SENT = 8
 LEAST_DISCOUNT = 0.1
