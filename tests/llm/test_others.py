@@ -5,6 +5,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 
 import corpus_pipeline
@@ -65,6 +66,49 @@ def test_top_k_of_blocks_without_postings(spark, monkeypatch, case):
     assert sorted(tuple(r) for r in found.collect()) == brute_top(rows, lambda i: i % 10 == 0)
 
 
+@pytest.mark.parametrize("entries", [1, 2000, 1 << 21])
+def test_top_k_deals_queries_to_cells_without_the_driver(spark, monkeypatch, entries):
+    from clipwright.llm import topk
+
+    monkeypatch.setattr(topk, "ROW_BLOCK", 50)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 5)
+    monkeypatch.setattr(topk, "CELL_ENTRIES", entries, raising=False)
+    random = np.random.default_rng(6)
+    rows = [(i, m.tolist()) for i, m in enumerate(random.standard_normal((300, 8)))]
+    rows += [(i, [float(i), 1.0]) for i in range(400, 430)] + rows[:20]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = top_k(df, F.col("vec_id") % 10 == 0)
+    # a query's copies for the index blocks were broadcast: their product went through the driver
+    assert "Broadcast" not in found._jdf.queryExecution().toString()
+    once = {(i, tuple(v)) for i, v in rows if i % 10 == 0}
+    expected = []
+    for i, q in sorted(once):
+        own = [(-sum(math.floor(256 * a) * math.floor(256 * b) for a, b in zip(q, v)), j) for j, v in rows if j != i and len(v) == len(q)]
+        expected += [(i, rank, j, -s) for rank, (s, j) in enumerate(sorted(own)[:5], 1)]
+    assert sorted(tuple(r) for r in found.collect()) == expected
+
+
+def test_search_block_keeps_members_when_scores_need_rounding():
+    from clipwright.llm import topk
+
+    random = np.random.default_rng(7)
+    for scale in (1.0, 1e4, 1e8):                   # single precision holds neither the larger scores nor their ties
+        matrix = np.floor(random.standard_normal((600, 6)) * scale).astype(np.int64)
+        matrix[300:400] = matrix[:100]
+        ids = random.permutation(600)
+        frame = pd.DataFrame({"width": 6, "block": np.arange(600) // 200, "id": ids, "vector": list(matrix)})
+        best = topk.Best(40, 5)
+        for _, own in frame.groupby("block"):
+            r = next(topk.build_index(own)).iloc[0]
+            topk.search_block(topk.IndexBlock(6, r.ids, r.vectors, r.order_, r.cuts, r.left), ids[:40], matrix[:40], best)
+        got = sorted(zip(ids[best.query].tolist(), (-best.score).tolist(), best.id.tolist()))
+        expected = []
+        for i in range(40):
+            scored = sorted((-int(s), int(j)) for s, j in zip(matrix @ matrix[i], ids) if j != ids[i])
+            expected += [(int(ids[i]), s, j) for s, j in scored[:5]]
+        assert got == sorted(expected)
+
+
 def brute_rule(url):
     if url is None or "://" not in url:
         return "", "", None, None
